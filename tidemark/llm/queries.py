@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, mixing, packing, sharding, token_orc
+from tidemark.llm import exact_dedup, mixing, ngram_join, packing, sharding, token_orc, toxicity
 from tidemark.llm.common import table
 
 
@@ -14,6 +14,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_groups(table(spark, sf_dir, "documents")).drop("key")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -34,6 +42,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
-QUERIES = {f.__name__: f for f in (op6_token_orc, op7_exact_dedup, op8_packing, op9_mixing, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op2_ngram_join, op4_toxicity, op6_token_orc, op7_exact_dedup, op8_packing, op9_mixing, op10_sharding)}
 
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE, "op10_sharding": sharding.oracle()}

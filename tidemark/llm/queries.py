@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, mixing, ngram_join, packing, sharding, token_orc, toxicity
+from tidemark.llm import exact_dedup, license_scan, line_templates, mixing, ngram_join, packing, quality, sharding, token_orc, toxicity
 from tidemark.llm.common import table
 
 
@@ -14,14 +14,26 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.line_report(table(spark, sf_dir, "documents"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_groups(table(spark, sf_dir, "documents")).drop("key")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"), license_scan.document_path())
+
+
 def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -42,6 +54,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
-QUERIES = {f.__name__: f for f in (op2_ngram_join, op4_toxicity, op6_token_orc, op7_exact_dedup, op8_packing, op9_mixing, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_ngram_join, op3_quality, op4_toxicity, op5_license_scan, op6_token_orc, op7_exact_dedup, op8_packing, op9_mixing, op10_sharding)}
 
-ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE, "op10_sharding": sharding.oracle()}
+ORACLES = {"op5_license_scan": license_scan.oracle(), "op7_exact_dedup": exact_dedup.ORACLE, "op10_sharding": sharding.oracle()}

@@ -14,32 +14,32 @@ from tidemark.llm.common import small_side, written
 
 #: n-grams of 3 to 5 characters of lower-case words with their ends marked, hashed to so many features.
 FEATURES, SIZES = 1 << 18, (3, 4, 5)
-#: Labelled rows of each class that the weights are fitted on, at most; counts for the ratios take all labelled rows.
-FIT_ROWS = 6000
-#: Words whose features a worker keeps.
-KEPT = 200_000
-
-
-class _Words(dict):
-    """The features of a word, found once for each worker."""
-
-    def __missing__(self, word: str) -> np.ndarray:
-        if len(self) >= KEPT:
-            self.clear()
-        marked = f"^{word}$"
-        out = np.unique(np.array([zlib.crc32(marked[i : i + n].encode("utf-8", "replace")) % FEATURES for n in SIZES for i in range(max(1, len(marked) - n + 1))], np.int32))
-        if len(word) <= 64:
-            self[word] = out
-        return out
-
-
-_words = _Words()
+#: Labelled rows of each class that the weights are fitted on, about; counts for the ratios take all labelled rows.
+FIT_ROWS = 3000
+_WHITE = np.array([0x20, *range(0x09, 0x0E)], np.uint32)
+_PLACE = np.random.default_rng(7).integers(0, 1 << 31, max(SIZES) + 1, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def features(text: str | None) -> np.ndarray:
-    """The distinct features of a whole text, ascending."""
-    parts = [_words[w] for w in set((text or "").lower().split())]
-    return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.int32)
+    """The distinct features of a whole text, ascending: its runs of characters that have no white space but at their ends."""
+    chars = np.frombuffer(f" {text or ''} ".lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    white = np.isin(chars, _WHITE) if (chars < 0x20).any() else chars == 0x20
+    chars = np.where(white, np.uint32(0x20), chars) * np.uint32(0x9E3779B1)
+    flags = np.zeros(FEATURES, bool)
+    for n in SIZES:
+        count = len(chars) - n + 1
+        if count < 1:
+            continue
+        total = np.full(count, n * 0x85EBCA6B & 0xFFFFFFFF, np.uint32)
+        inside = np.zeros(count, bool)
+        for j in range(n):
+            total += (chars[j : j + count] ^ (chars[j : j + count] >> np.uint32(15))) * _PLACE[j]
+            if 0 < j < n - 1:
+                inside |= white[j : j + count]
+        total ^= total >> np.uint32(16)
+        total *= np.uint32(0xC2B2AE35)
+        flags[(total >> np.uint32(14))[~inside]] = True
+    return np.flatnonzero(flags).astype(np.int32)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -74,7 +74,7 @@ def log_ratios(rows: DataFrame, smoothing: float = 1.0) -> np.ndarray:
 
 
 def fit(rows: DataFrame, ratios: np.ndarray, fit_rows: int = FIT_ROWS, epochs: int = 12, rate: float = 0.1, seed: int = 0) -> tuple[np.ndarray, float]:
-    """(weights, bias) by logistic regression with AdaGrad on up to fit_rows rows of each class, those of the smallest hash of doc_id.
+    """(weights, bias) by logistic regression with AdaGrad on about fit_rows rows of each class, those of the smallest hashes of doc_id.
 
     Rows of a class stand for as many as the class has in all, so that scores keep to the labels' share. With rows of one class
     alone, or none, scores follow that share and nothing else.
@@ -90,9 +90,13 @@ def fit(rows: DataFrame, ratios: np.ndarray, fit_rows: int = FIT_ROWS, epochs: i
             ids = [features(t).tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(ids, pa.binary())], names=["toxic", "ids"])
 
-    some = [rows.filter(c).orderBy(F.xxhash64("doc_id", F.lit(seed)), "text").limit(fit_rows).select("text", "toxic") for c in ("toxic > 0", "toxic <= 0")]
-    data = some[0].unionByName(some[1]).mapInArrow(found, "toxic int, ids binary").collect()
-    data = sorted(((np.frombuffer(r["ids"], np.int32), int(r["toxic"] > 0)) for r in data), key=lambda r: (zlib.crc32(r[0].tobytes()), r[1]))
+    # Chosen row by row where they are read: no sort, and no task sees more than its own.
+    place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    some = rows.filter(place < F.when(F.col("toxic") > 0, F.lit(fit_rows / counts[1])).otherwise(F.lit(fit_rows / counts[0]))).select("text", "toxic")
+    got = some.mapInArrow(found, "toxic int, ids binary").toArrow()
+    data = sorted(((np.frombuffer(x.as_py(), np.int32), int(y.as_py() > 0)) for y, x in zip(got["toxic"], got["ids"], strict=True)), key=lambda r: (zlib.crc32(r[0].tobytes()), r[1]))
+    if len({y for _, y in data}) < 2:
+        return np.zeros(FEATURES, np.float32), prior
     heavy = [counts[c] / sum(y == c for _, y in data) for c in (0, 1)]
     heavy = [h * len(data) / sum(counts.values()) for h in heavy]
     w, b, gw, gb, order = np.zeros(FEATURES), prior, np.full(FEATURES, 1e-2), 1e-2, np.random.default_rng(seed)

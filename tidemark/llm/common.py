@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ WORD = f"[^{SPACE}]+"
 
 #: Rows up to which a narrow side (at most about 40 bytes a row) is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Rows of an Arrow batch of texts.
+TEXTS_PER_BATCH = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +44,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_texts(df: DataFrame, f: Callable, schema: str) -> DataFrame:
+    """df.mapInArrow(f, schema) in batches that hold a few MB of whole texts."""
+    text_batches(df.sparkSession)
+    return df.mapInArrow(f, schema)
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Bounds what Python workers hold at once: Spark's own batches of 10,000 rows suit numbers, not texts."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > TEXTS_PER_BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_PER_BATCH)
+
+
 def small_side(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most limit rows (counted here unless given); else as it is, for a shuffle join."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= limit else df

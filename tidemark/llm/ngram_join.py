@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_side, written
+from tidemark.llm.common import map_texts, small_side, written
 from tidemark.llm.components import components
 from tidemark.llm.shingles import HASHES, bands, minhash, set_hash, shingles
 
@@ -86,7 +86,7 @@ def _members(docs: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(shapes, pa.int64()), pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0, np.int64), *rows]))], names=["doc_id", "key", "shape", "bands"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key(), "text")
-    return rows.mapInArrow(sign, "doc_id long, key long, shape long, bands array<long>")
+    return map_texts(rows, sign, "doc_id long, key long, shape long, bands array<long>")
 
 
 def _key():
@@ -158,7 +158,7 @@ def _compared(work: DataFrame, k: int, threshold: float, tolerance: float, want_
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["node", "other", "amount"])
 
     keys = ["cluster", "low", "high"]
-    return work.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(solve, "node long, other long, amount double")
+    return map_texts(work.repartition(*keys).sortWithinPartitions(*keys), solve, "node long, other long, amount double")
 
 
 def near_groups(docs: DataFrame, k: int = WORDS, threshold: float = SIMILARITY, tolerance: float = TOLERANCE) -> DataFrame:

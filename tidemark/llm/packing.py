@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_side, written
+from tidemark.llm.common import map_texts, small_side, written
 from tidemark.llm.tokens import encoder
 
 CAPACITY, END = 2048, 1
@@ -58,7 +58,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, capacity: int = CAPA
                     ranks[k] += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _ARROW, strict=True)], schema=_ARROW)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, _PIECES)
+    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), encode, _PIECES)
 
 
 def pack(docs: DataFrame, tokenizer: str, end: int = END, capacity: int = CAPACITY, slack: float = SLACK) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import new_path
+from tidemark.llm.common import map_texts, new_path
 from tidemark.llm.tokens import encoder
 
 END = 2
@@ -43,7 +43,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, par
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = rows.repartitionByRange(*([partitions] if partitions else []), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": str(stride), "orc.stripe.size": str(stripe_mb << 20), "compression": "zstd"}
-    rows.mapInArrow(encode, _FILE).write.options(**options).orc(path)
+    map_texts(rows, encode, _FILE).write.options(**options).orc(path)
 
 
 def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
@@ -63,7 +63,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
             sums = [zlib.crc32(flat[x:y]) for x, y in zip(off[:-1], off[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("part"), b.column("pos"), b.column("doc_id"), pa.array(n.astype("i8")), pa.array(sums, pa.int64())], names=["part", "pos", "doc_id", "n_tokens", "ids_crc32"])
 
-    rows = read_tokens(spark, path).mapInArrow(crc, "part int, pos long, doc_id long, n_tokens long, ids_crc32 long")
+    rows = map_texts(read_tokens(spark, path), crc, "part int, pos long, doc_id long, n_tokens long, ids_crc32 long")
     # A row for each part, from the narrow counts in the files.
     parts = read_tokens(spark, path).groupBy("part").agg(F.sum("n_tokens").alias("n"))
     parts = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))

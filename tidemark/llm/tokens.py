@@ -15,8 +15,8 @@ import numpy as np
 #: Unicode's White_Space.
 _WHITE = "\t-\r \x85\xa0  -     　"
 _STRETCHES = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
-#: Stretches kept by a worker (about 60 MB), and the longest kept.
-KEPT, LONGEST = 300_000, 64
+#: Stretches kept by a worker (about 20 MB), and the longest kept.
+KEPT, LONGEST = 100_000, 64
 
 
 class Encoder:

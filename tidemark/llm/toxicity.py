@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_side, written
+from tidemark.llm.common import map_texts, small_side, text_batches, written
 
 #: n-grams of 3 to 5 characters of lower-case words with their ends marked, hashed to so many features.
 FEATURES, SIZES = 1 << 18, (3, 4, 5)
@@ -66,7 +66,7 @@ def log_ratios(rows: DataFrame, smoothing: float = 1.0) -> np.ndarray:
         some = np.flatnonzero(sums.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype("i4")), pa.array(sums[1, some]), pa.array(sums[0, some])], names=["feature", "p", "q"])
 
-    got = rows.select("text", "toxic").mapInArrow(count, "feature int, p long, q long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("q").alias("q")).toPandas()
+    got = map_texts(rows.select("text", "toxic"), count, "feature int, p long, q long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("q").alias("q")).toPandas()
     p, q = np.full(FEATURES, smoothing), np.full(FEATURES, smoothing)
     p[got["feature"]] += got["p"]
     q[got["feature"]] += got["q"]
@@ -93,7 +93,7 @@ def fit(rows: DataFrame, ratios: np.ndarray, fit_rows: int = FIT_ROWS, epochs: i
     # Chosen row by row where they are read: no sort, and no task sees more than its own.
     place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     some = rows.filter(place < F.when(F.col("toxic") > 0, F.lit(fit_rows / counts[1])).otherwise(F.lit(fit_rows / counts[0]))).select("text", "toxic")
-    got = some.mapInArrow(found, "toxic int, ids binary").toArrow()
+    got = map_texts(some, found, "toxic int, ids binary").toArrow()
     data = sorted(((np.frombuffer(x.as_py(), np.int32), int(y.as_py() > 0)) for y, x in zip(got["toxic"], got["ids"], strict=True)), key=lambda r: (zlib.crc32(r[0].tobytes()), r[1]))
     if len({y for _, y in data}) < 2:
         return np.zeros(FEATURES, np.float32), prior
@@ -125,6 +125,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     """
     spark: SparkSession = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)
+    text_batches(spark)
 
     @F.pandas_udf("double")
     def scores(texts):

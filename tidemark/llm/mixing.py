@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, text_or_empty, written
+from tidemark.llm.common import WORD, small_side, text_or_empty, written
 
 WEIGHTS = (5, 2, 1)
 #: A document is taken at most so many times.
@@ -131,7 +131,7 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
     copies = written(per_row.filter("copies > 0").select(*(F.col(c).alias(f"__mix_{c}") for c in per_row.columns)), "mix-copies")
     rows = docs.withColumn("__mix_words", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long"))
     same = F.col("doc_id").eqNullSafe(F.col("__mix_doc_id")) & F.col("source").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_words") == F.col("__mix_size"))
-    joined = rows.join(copies, same)
+    joined = rows.join(small_side(copies), same)
     if not copies.filter("__mix_rows > 1").isEmpty():
         joined = joined.filter("__mix_rows = 1").unionByName(joined.filter("__mix_rows > 1").dropDuplicates(["__mix_doc_id", "__mix_source", "__mix_words"]))
     return joined.withColumn("__mix_k", F.explode(F.sequence(F.lit(1), F.col("__mix_copies").cast("int")))).select(*docs.columns)

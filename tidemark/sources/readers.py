@@ -37,12 +37,13 @@ def days(spark: SparkSession, path: str, first: date, last: date) -> DataFrame:
 
 def jdbc(spark: SparkSession, url: str, name: str, properties: dict[str, str], column: str | None = None, connections: int = 1, fetch_rows: int = 10_000) -> DataFrame:
     """A table over JDBC. With a column of numbers in text form, as so many ranges of it at once, each read by its own task."""
-    reader = spark.read.format("jdbc").option("url", url).option("fetchsize", str(fetch_rows)).options(**properties)
+    # A reader keeps the options that it was given, so that each load takes one of its own.
+    reader = lambda: spark.read.format("jdbc").option("url", url).option("fetchsize", str(fetch_rows)).options(**properties)
     if not column or connections < 2:
-        return reader.option("dbtable", name).load()
+        return reader().option("dbtable", name).load()
     number = f"CAST(REPLACE({column}, '-', '0') AS BIGINT)"
-    low, high = reader.option("query", f"SELECT MIN({number}) AS low, MAX({number}) AS high FROM {name}").load().first()
-    ranged = reader.option("dbtable", f"(SELECT t.*, {number} AS range_key FROM {name} t) r").options(partitionColumn="range_key", lowerBound=str(low or 0), upperBound=str((high or 0) + 1), numPartitions=str(connections))
+    low, high = reader().option("query", f"SELECT MIN({number}) AS low, MAX({number}) AS high FROM {name}").load().first()
+    ranged = reader().option("dbtable", f"(SELECT t.*, {number} AS range_key FROM {name} t) r").options(partitionColumn="range_key", lowerBound=str(low or 0), upperBound=str((high or 0) + 1), numPartitions=str(connections))
     return ranged.load().drop("range_key")
 
 

@@ -22,7 +22,7 @@ def apply_late_labels(stream: DataFrame, history_path: str, index_path: str, led
     def one(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         now = latest(batch, ["transaction_id"], [F.desc("knowledge_date"), F.desc("_recorded_at"), F.desc_nulls_last("is_fraud")])
-        day = F.to_date(F.lit(str(batch.agg(F.max("knowledge_date")).first()[0])))
+        day = F.lit(batch.agg(F.max("knowledge_date")).first()[0]).cast("date")
         changes = label_changes(now, spark.read.parquet(history_path), spark.read.parquet(index_path), day)
         pending(changes, spark.read.parquet(ledger_path)).write.mode("append").parquet(ledger_path)
         batch.write.mode("append").parquet(history_path)

@@ -47,6 +47,27 @@ def test_any_text(file):
     same()
 
 
+WORDS = st.lists(st.from_regex(r"[ \n]?[A-Za-z\xc0-\xff\u0130\u0301]{1,12}[.,;:!?'*<|>\-%$#~^`\"]{0,4}", fullmatch=True), max_size=12).map("".join)
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_plain_words(file, monkeypatch):
+    """Words as the model alone encodes them, also while what is known makes room."""
+    from tidemark.llm import tokens
+
+    monkeypatch.setattr(tokens, "KEPT", 20)
+    tok, enc = tokens.Encoder(vocabulary(file)).tokenizer, tokens.Encoder(vocabulary(file))
+    assert enc.plain
+
+    @settings(max_examples=600, deadline=None)
+    @given(WORDS)
+    def same(t):
+        assert enc.ids(t) == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        assert len(enc.known) <= 20 + 13
+
+    same()
+
+
 def rows_of(spark, extra=False):
     texts = [*ODD, None, "word " * 9000, "repeat", "repeat"]
     rows = [(i * 7 % 23, t, "x", i) for i, t in enumerate(texts)] + [(3, "repeat", None, 1), (None, "no id", "s", 2)]

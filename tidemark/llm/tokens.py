@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -15,8 +16,13 @@ import numpy as np
 #: Unicode's White_Space.
 _WHITE = "\t-\r \x85\xa0  -     　"
 _STRETCHES = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
-#: Stretches kept by a worker (about 60 MB), and the longest kept.
-KEPT, LONGEST = 300_000, 64
+#: Most stretches are a word of Latin letters, perhaps after a space or before signs. They make one pre-token, or two with the signs.
+_LETTERS, _SIGNS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", r"!\"#$%&()*+,\-./:;=?@\[\]^_`{}~"
+_PLAIN = re.compile(f"( ?)([{_LETTERS}]+)([{_SIGNS}]*)")
+#: The plain way is taken only with a file that agrees with it on these.
+_TRIED = ["a", "A", " a", " \xc9t\xe9", "\xd6l", "The", " the", "the.", " The,", " Stra\xdfe!?", " \xfeing;", "na\xefve:", "ANTIdisestablishment...", " \xe0\xc8\xfe\xff"]
+#: Stretches kept by a worker (about 80 MB), the longest kept, and signs kept.
+KEPT, LONGEST, MOST_SIGNS = 400_000, 64, 1000
 
 
 class Encoder:
@@ -27,6 +33,37 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.known: dict[str, bytes] = {}
+        self.model, self.as_bytes = self.tokenizer.model, self._letters()
+        self.space, self.signs = self.as_bytes[ord(" ")], {}
+        self.lower = self._whole("A") == self._whole("a")
+        self.plain = all(self.as_bytes[i] == chr(i) for i in self.as_bytes if 32 < i < 128) and all(self._plain(_PLAIN.fullmatch(x)) == self._whole(x) for x in _TRIED)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _letters(self) -> dict[int, str]:
+        """How the file's own pre-tokenizer writes letters, signs and a space before a letter; nothing for a space that it drops."""
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        chars = [c for c in map(chr, range(256)) if re.match(f"[{_LETTERS}{_SIGNS}]", c)]
+        return {ord(" "): split(" a")[0][0][:-1]} | {ord(c): split(c)[0][0] for c in chars}
+
+    def _by_model(self, pre_token: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(pre_token)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _plain(self, found: re.Match) -> bytes:
+        """The ids of a stretch by the model alone, as neither normaliser nor pre-tokenizer has more to do with it than this."""
+        space, word, signs = found.groups()
+        if self.lower:
+            word = word.lower()
+        if not word.isascii():
+            word = word.translate(self.as_bytes)
+        out = self._by_model(self.space + word if space else word)
+        if signs and signs not in self.signs:
+            if len(self.signs) >= MOST_SIGNS:
+                self.signs.clear()
+            self.signs[signs] = self._by_model(signs)
+        return out + self.signs[signs] if signs else out
 
     def ids(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -35,9 +72,17 @@ class Encoder:
         new = [x for x in set(parts) if x not in known]
         if new:
             if len(known) + len(new) > KEPT:
-                known.clear()
-                new = list(set(parts))
-            known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in self.batch(new, add_special_tokens=False)), strict=True))
+                # The first ones came early because they are frequent; the later half makes room.
+                for x in list(known)[KEPT // 2 :]:
+                    del known[x]
+                new = [x for x in set(parts) if x not in known]
+            others = []
+            for x in new:
+                if self.plain and (found := _PLAIN.fullmatch(x)):
+                    known[x] = self._plain(found)
+                else:
+                    others.append(x)
+            known.update(zip(others, (np.array(e.ids, "<u4").tobytes() for e in self.batch(others, add_special_tokens=False)), strict=True))
         out = b"".join([known[x] for x in parts])
         for x in new:
             if len(x) > LONGEST:

@@ -105,6 +105,17 @@ def test_lines(spark):
     assert line_templates.line_report(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("n", [300, 3000])
+def test_fields_at_any_size(spark, n):
+    """Fields without digits vary at any size of the table, with production parameters; also among the first words and beside a template of other size."""
+    rnd = random.Random(n)
+    name = lambda: "".join(chr(97 + int(x)) for x in f"{rnd.randrange(200):03d}")
+    lines = lambda: [f"the session of user {name()} was opened from city {name()} this morning", f"{name()} has left the building through the main door", "the session of user one has ended in {} way and nothing".format(rnd.choice(["good", "bad"]))]
+    rows = [(i, "\n".join([*(lines()[:2]), *(lines()[2:] if i < 20 else [])])) for i in range(n)]
+    got = line_templates.line_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).agg(F.sum("n_dropped")).first()[0]
+    assert got >= 2 * n + 20 - 5
+
+
 def test_quality(spark, docs):
     for r in quality.quality(docs).join(docs.select(F.col("doc_id").alias("d"), "text").distinct(), F.col("doc_id").eqNullSafe(F.col("d"))).collect():
         text = r.text or ""

@@ -110,6 +110,16 @@ def test_split_and_reconcile(spark):
     assert all(r.invariant_ok for r in got.values()) and got["2024-01-01"].duplicate_count == 1
 
 
+def test_unindexed_and_cleared(spark):
+    labels = spark.createDataFrame([("a", None), ("b", True), ("c", True)], "transaction_id string, is_fraud boolean")
+    history = spark.createDataFrame([("a", True, date(2024, 1, 1), datetime(2024, 1, 1))], "transaction_id string, is_fraud boolean, knowledge_date date, _recorded_at timestamp")
+    rows = spark.createDataFrame([("a", date(2024, 1, 1), True), ("b", date(2024, 1, 1), False), ("d", date(2024, 1, 1), True)], "transaction_id string, event_date date, is_fraud boolean")
+    changes = audit.label_changes(labels, history, rows, F.lit("2024-02-01").cast("date"))
+    assert {r.transaction_id: (r.change_type, r.event_date is None) for r in changes.collect()} == {"a": ("LABEL_CLEARED", False), "b": ("NEW_LABEL", False), "c": ("UNINDEXED", True)}
+    assert {r.transaction_id for r in audit.pending(changes, changes.limit(0)).collect()} == {"a", "b"}
+    assert {r.transaction_id: r.is_fraud for r in audit.restate(rows, changes).collect()} == {"a": None, "b": True, "d": True}
+
+
 def test_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([(2024, 1, 1, "a"), (2024, 1, 2, "b")], "year int, month int, day int, x string")

@@ -84,3 +84,24 @@ def test_late_labels(spark, tmp_path):
     assert run("c") == want
     late.write.mode("append").parquet(path("in"))
     assert run("c") == want and run("again") == want
+
+
+def test_labels_before_their_transaction(spark, tmp_path):
+    """A label that comes before its transaction is indexed waits, and is applied once with the next batch after."""
+    path = lambda name: str(tmp_path / name)
+    rows = lambda pairs, day: spark.createDataFrame([(t, f, day, datetime(day.year, day.month, day.day)) for t, f in pairs], LABELS)
+    index = lambda ids: spark.createDataFrame([(t, date(2023, 12, 1)) for t in ids], "transaction_id string, event_date date").write.mode("append").parquet(path("index"))
+    rows([("t1", True)], date(2024, 1, 1)).write.parquet(path("history"))
+    index(["t1"])
+    spark.createDataFrame([], LEDGER).write.parquet(path("ledger"))
+
+    def run(pairs, day):
+        rows(pairs, day).write.mode("append").parquet(path("in"))
+        stream = spark.readStream.schema(LABELS).parquet(path("in"))
+        labels.apply_late_labels(stream, path("history"), path("index"), path("ledger"), path("c")).awaitTermination()
+        return sorted((r.transaction_id, r.change_type) for r in spark.read.parquet(path("ledger")).collect())
+
+    assert run([("t2", True)], date(2024, 2, 1)) == []
+    index(["t2"])
+    assert run([("t1", None)], date(2024, 3, 1)) == [("t1", "LABEL_CLEARED"), ("t2", "NEW_LABEL")]
+    assert run([("t2", False)], date(2024, 4, 1)) == [("t1", "LABEL_CLEARED"), ("t2", "LABEL_CHANGED"), ("t2", "NEW_LABEL")]

@@ -177,7 +177,7 @@ b AS (SELECT event_date, amount, is_fraud, 'BEFORE' AS snapshot_type FROM days U
 SELECT event_date, snapshot_type, count(*) FILTER (is_fraud) AS fraud_txn_count, round(coalesce(sum(amount) FILTER (is_fraud), 0), 8) AS fraud_amount_sum, count(*) AS total_txn_count, round(sum(amount), 8) AS total_amount_sum FROM b GROUP BY ALL""", "event_date")
 def restatement(spark, sf_dir):
     rows, changes = _changes(spark, sf_dir)
-    return audit.restatement_report(rows, changes).withColumns({c: F.round(c, 8) for c in ("fraud_amount_sum", "total_amount_sum")})
+    return audit.restatement_report(rows, changes, keep_cleared=True).withColumns({c: F.round(c, 8) for c in ("fraud_amount_sum", "total_amount_sum")})
 
 
 _TIER = "CASE WHEN fraud_rate >= 0.10 THEN 'CRITICAL' WHEN fraud_rate >= 0.05 THEN 'HIGH' WHEN fraud_rate >= 0.02 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier"

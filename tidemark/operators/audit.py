@@ -16,26 +16,29 @@ def latest_labels(history: DataFrame) -> DataFrame:
 def label_changes(labels: DataFrame, history: DataFrame, index: DataFrame, knowledge_date: Column) -> DataFrame:
     """Labels that differ from those known before, with the day of the transaction: what has to be restated, and why.
 
-    labels has one row per transaction. A label that was null or missing and still is makes no change; transactions that the index
-    doesn't know are left out.
+    labels has one row per transaction. A label that was null or missing and still is makes no change. Transactions that the index
+    doesn't know come as UNINDEXED, without a day: their labels must wait, outside history, until the index has them.
     """
     known = latest_labels(history).select("transaction_id", F.col("is_fraud").alias("old_is_fraud"))
     joined = labels.select("transaction_id", F.col("is_fraud").alias("new_is_fraud")).join(known, "transaction_id", "left")
     changed = joined.filter(~F.col("old_is_fraud").eqNullSafe(F.col("new_is_fraud")))
     kind = F.when(F.col("old_is_fraud").isNull(), "NEW_LABEL").when(F.col("new_is_fraud").isNull(), "LABEL_CLEARED").otherwise("LABEL_CHANGED")
-    out = changed.withColumns({"change_type": kind, "knowledge_date": knowledge_date}).join(index.select("transaction_id", "event_date"), "transaction_id")
+    days = index.select("transaction_id", "event_date", F.lit(True).alias("indexed"))
+    out = changed.withColumns({"change_type": kind, "knowledge_date": knowledge_date}).join(days, "transaction_id", "left")
+    out = out.withColumn("change_type", F.when(F.col("indexed"), F.col("change_type")).otherwise("UNINDEXED")).drop("indexed")
     return out.withColumn("change_id", F.concat_ws("-", F.col("transaction_id").cast("string"), F.col("knowledge_date").cast("string")))
 
 
 def pending(changes: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Changes that no run has applied yet; running twice therefore applies none twice."""
-    return changes.join(ledger.select("change_id"), "change_id", "left_anti")
+    """Changes that can be applied and that no run has applied yet; running twice therefore applies none twice."""
+    return changes.filter("change_type <> 'UNINDEXED'").join(ledger.select("change_id"), "change_id", "left_anti")
 
 
-def restate(rows: DataFrame, changes: DataFrame) -> DataFrame:
-    """rows with the new labels over the old ones; a cleared label leaves the old one."""
-    new = changes.select("transaction_id", "new_is_fraud")
-    return rows.join(new, "transaction_id", "left").withColumn("is_fraud", F.coalesce("new_is_fraud", "is_fraud")).drop("new_is_fraud")
+def restate(rows: DataFrame, changes: DataFrame, keep_cleared: bool = False) -> DataFrame:
+    """rows with the new labels over the old ones; a cleared label becomes null, or with keep_cleared stays what it was."""
+    new = changes.filter("change_type <> 'UNINDEXED'").select("transaction_id", "new_is_fraud", "change_type")
+    old = F.col("change_type").isNull() | (F.lit(keep_cleared) & (F.col("change_type") == "LABEL_CLEARED"))
+    return rows.join(new, "transaction_id", "left").withColumn("is_fraud", F.when(old, F.col("is_fraud")).otherwise(F.col("new_is_fraud"))).drop("new_is_fraud", "change_type")
 
 
 def affected(rows: DataFrame, changes: DataFrame) -> DataFrame:
@@ -53,10 +56,10 @@ def daily_report(rows: DataFrame) -> DataFrame:
     )
 
 
-def restatement_report(rows: DataFrame, changes: DataFrame) -> DataFrame:
+def restatement_report(rows: DataFrame, changes: DataFrame, keep_cleared: bool = False) -> DataFrame:
     """Reports of the affected days before and after."""
     days = affected(rows, changes)
-    return daily_report(days).withColumn("snapshot_type", F.lit("BEFORE")).unionByName(daily_report(restate(days, changes)).withColumn("snapshot_type", F.lit("AFTER")))
+    return daily_report(days).withColumn("snapshot_type", F.lit("BEFORE")).unionByName(daily_report(restate(days, changes, keep_cleared)).withColumn("snapshot_type", F.lit("AFTER")))
 
 
 def reconcile(raw: DataFrame, accepted: DataFrame, quarantined: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.audit import label_changes, pending
 from tidemark.operators.tables import latest
+from tidemark.sources.readers import optional
 
 
 def activity(stream: DataFrame, late: str = "1 day", width: str = "1 hour") -> DataFrame:
@@ -17,14 +18,21 @@ def activity(stream: DataFrame, late: str = "1 day", width: str = "1 hour") -> D
 
 def apply_late_labels(stream: DataFrame, history_path: str, index_path: str, ledger_path: str, checkpoint: str) -> StreamingQuery:
     """Writes the changes that each batch of labels (transaction_id, is_fraud, knowledge_date, _recorded_at) makes to the ledger, once:
-    a batch that is repeated after a failure finds its changes there already. history_path and ledger_path must hold their (maybe empty) tables."""
+    a batch that is repeated after a failure finds its changes there already. history_path and ledger_path must hold their (maybe empty) tables.
+    Labels of transactions that the index doesn't know wait beside the history, in history_path + "-unindexed", and come again with each later batch."""
+
+    waiting_path = f"{history_path.rstrip('/')}-unindexed"
 
     def one(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        now = latest(batch, ["transaction_id"], [F.desc("knowledge_date"), F.desc("_recorded_at"), F.desc_nulls_last("is_fraud")])
-        day = F.lit(batch.agg(F.max("knowledge_date")).first()[0]).cast("date")
-        changes = label_changes(now, spark.read.parquet(history_path), spark.read.parquet(index_path), day)
+        known, index = spark.read.parquet(history_path), spark.read.parquet(index_path)
+        waiting = optional(spark, waiting_path, batch.schema).join(known, ["transaction_id", "knowledge_date", "_recorded_at"], "left_anti").select(batch.columns)
+        every = batch.unionByName(waiting).localCheckpoint()
+        now = latest(every, ["transaction_id"], [F.desc("knowledge_date"), F.desc("_recorded_at"), F.desc_nulls_last("is_fraud")])
+        day = F.lit(every.agg(F.max("knowledge_date")).first()[0]).cast("date")
+        changes = label_changes(now, known, index, day)
         pending(changes, spark.read.parquet(ledger_path)).write.mode("append").parquet(ledger_path)
-        batch.write.mode("append").parquet(history_path)
+        batch.join(index, "transaction_id", "left_anti").select(batch.columns).write.mode("append").parquet(waiting_path)
+        every.join(index, "transaction_id", "left_semi").select(batch.columns).write.mode("append").parquet(history_path)
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -116,6 +116,14 @@ def test_fields_at_any_size(spark, n):
     assert got >= 2 * n + 20 - 5
 
 
+def test_long_lines(spark):
+    """A line of 20 words goes from the second document on, one of 19 stays; both with production parameters."""
+    passage = lambda n: " ".join(chr(97 + i) * 3 for i in range(n))
+    rows = [(i, f"{'xyz'[i] * 4} own words\n{passage(20)}\n{passage(19)}\n{passage(21).replace('nnn', 'uvw'[i] * 5)}") for i in range(2)]
+    got = {r.doc_id: r.text for r in line_templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: rows[0][1], 1: f"yyyy own words\n{passage(19)}"}
+
+
 def test_quality(spark, docs):
     for r in quality.quality(docs).join(docs.select(F.col("doc_id").alias("d"), "text").distinct(), F.col("doc_id").eqNullSafe(F.col("d"))).collect():
         text = r.text or ""

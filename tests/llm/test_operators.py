@@ -197,6 +197,15 @@ def test_mixing(spark, docs):
     assert taken.columns == docs.columns and taken.count() == sum(r.copies for r in got)
 
 
+def test_texts_without_id(spark):
+    """Texts of equal length with a null or repeated doc_id are mixed each for itself; only rows of the same text are one."""
+    rows = [(i, f"t{k} a b", "s") for i in (None, 7) for k in range(40)] + [(None, "t0 a b", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    taken = mixing.take(df, weights=(1,))
+    assert sorted(map(str, taken.collect())) == sorted(map(str, df.collect()))
+    assert mixing.mix(df).columns == ["doc_id", "source", "size", "source_size", "target", "copies", "taken"]
+
+
 def test_sharding(spark, docs):
     table = sharding.fill()
     counts = Counter(table)

@@ -94,21 +94,31 @@ def round_copies(units: DataFrame, seed: int = 0, fan_in: int = FAN_IN) -> DataF
     return out
 
 
+def _copy() -> Column:
+    """What tells texts apart whose doc_id is null or repeated."""
+    return F.xxhash64(F.col("doc_id"), F.col("source"), F.col("text"))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = 0) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken (= size * copies).
 
     The expected copies of each document are its source's target / source_size; the copies drawn are that number rounded down or
     up, so that a source's words differ from its target by less than one document. Null texts and texts without words have size
-    0 and no copies; a null source is a source of its own. Rows alike in doc_id, source and size are rounded as one and share
-    the copies out. Other columns are ignored. No rows in, no rows out. The draw depends on seed, doc_id, source and size alone.
+    0 and no copies; a null source is a source of its own. Rows alike in doc_id, source and text are rounded as one and share
+    the copies out. Other columns are ignored. No rows in, no rows out. The draw depends on seed, doc_id, source and text alone.
     """
-    narrow = written(docs.select("doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size")), "mix-sizes")
+    return _mixed(docs, weights, most, seed).drop("copy")
+
+
+def _mixed(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int) -> DataFrame:
+    """The rows of mix with the hash of their text (copy)."""
+    narrow = written(docs.select("doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"), _copy().alias("copy")), "mix-sizes")
     goal = written(targets(narrow, weights, most), "mix-targets")
-    units = narrow.groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows"))
-    units = units.alias("u").join(goal.alias("g"), F.col("u.source").eqNullSafe(F.col("g.source"))).select("doc_id", "u.source", "size", "rows", "source_size", "target")
+    units = narrow.groupBy("doc_id", "source", "size", "copy").agg(F.count("*").alias("rows"))
+    units = units.alias("u").join(goal.alias("g"), F.col("u.source").eqNullSafe(F.col("g.source"))).select("doc_id", "u.source", "size", "copy", "rows", "source_size", "target")
     ratio = F.when(F.col("source_size") > 0, F.least(F.lit(float(most)), F.col("target") / F.col("source_size"))).otherwise(0.0)
     want = F.when(F.col("size") > 0, F.round(ratio * F.col("rows"), 12)).otherwise(0.0)
-    units = units.withColumn("want", want).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "source", "size"))
+    units = units.withColumn("want", want).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "source", "size", "copy"))
     units = units.withColumn("p", F.col("want") - F.floor("want"))
     open_ = units.filter((F.col("p") > EPS) & (F.col("p") < 1 - EPS)).select("source", "h", "size", "p")
     one_more = round_copies(open_, seed).select(F.col("source").alias("s2"), F.col("h").alias("h2")).distinct()
@@ -116,7 +126,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     settled = settled.withColumn("copies", F.when(F.col("p") >= 1 - EPS, F.ceil("want")).otherwise(F.floor("want")) + F.when(F.col("h2").isNotNull(), 1).otherwise(0))
     once = settled.filter("rows = 1")
     again = settled.filter("rows > 1").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-    cols = ["doc_id", "source", "size", "source_size", "target", F.col("copies").cast("long").alias("copies")]
+    cols = ["doc_id", "source", "size", "copy", "source_size", "target", F.col("copies").cast("long").alias("copies")]
     share = F.floor(F.col("copies") / F.col("rows")) + F.when(F.col("k") <= F.col("copies") % F.col("rows"), 1).otherwise(0)
     out = once.select(*cols).unionByName(again.withColumn("copies", share).select(*cols))
     return out.withColumn("taken", F.col("size") * F.col("copies"))
@@ -125,13 +135,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
 def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = 0) -> DataFrame:
     """docs as the mix takes them: each row as often as its copies say, in docs' own columns. Rows without words are not taken.
 
-    Rows alike in doc_id, source and words must be alike in all columns, since one of them stands for the others.
+    Rows alike in doc_id, source and text must be alike in all columns, since one of them stands for the others.
     """
-    per_row = mix(docs, weights, most, seed).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    per_row = _mixed(docs, weights, most, seed).groupBy("doc_id", "source", "size", "copy").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
     copies = written(per_row.filter("copies > 0").select(*(F.col(c).alias(f"__mix_{c}") for c in per_row.columns)), "mix-copies")
-    rows = docs.withColumn("__mix_words", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long"))
-    same = F.col("doc_id").eqNullSafe(F.col("__mix_doc_id")) & F.col("source").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_words") == F.col("__mix_size"))
+    rows = docs.withColumn("__mix_words", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")).withColumn("__mix_text", _copy())
+    same = F.col("doc_id").eqNullSafe(F.col("__mix_doc_id")) & F.col("source").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_words") == F.col("__mix_size")) & (F.col("__mix_text") == F.col("__mix_copy"))
     joined = rows.join(small_side(copies), same)
     if not copies.filter("__mix_rows > 1").isEmpty():
-        joined = joined.filter("__mix_rows = 1").unionByName(joined.filter("__mix_rows > 1").dropDuplicates(["__mix_doc_id", "__mix_source", "__mix_words"]))
+        joined = joined.filter("__mix_rows = 1").unionByName(joined.filter("__mix_rows > 1").dropDuplicates(["__mix_doc_id", "__mix_source", "__mix_words", "__mix_copy"]))
     return joined.withColumn("__mix_k", F.explode(F.sequence(F.lit(1), F.col("__mix_copies").cast("int")))).select(*docs.columns)

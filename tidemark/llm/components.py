@@ -5,36 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import fits, forget, written
 
 
-def _is_forest(edges: DataFrame) -> bool:
-    """Whether each node has one smaller neighbour at most, and none of those has one itself."""
-    several = edges.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1")
-    chains = edges.alias("a").join(edges.alias("b"), F.col("a.v") == F.col("b.u"), "left_semi")
-    return chains.select("u").unionByName(several.select("u")).isEmpty()
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _nearest(edges: DataFrame) -> DataFrame:
-    """(u, m): the smallest of each node's neighbours."""
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+def _contracted(edges: DataFrame) -> DataFrame:
+    """All neighbours of a node linked to the smallest of them: first those above the node, then those below."""
+    # With few edges their nodes' minima are broadcast, so that a hub's edges stay spread; with many, a skewed join is split by Spark.
+    side = F.broadcast if fits(edges) else lambda df: df
+    least = lambda df: df.groupBy("u").agg(F.min("v").alias("m"))
+    edges = edges.select("u", "v")
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = least(both).select("u", F.least("u", "m").alias("m"))
+    above = _ordered(both.join(side(low), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+    low = least(above)
+    below = above.join(side(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+    return _ordered(below)
 
 
 def components(pairs: DataFrame) -> DataFrame:
     """(node, root) of all nodes in pairs (u, v) of long: root is the smallest node that a node is linked with, directly or by others.
 
-    Each round links all neighbours of a node to the smallest of them, first those above the node, then those below: the number of rounds
-    grows with the logarithm of the longest chain. Minima are combined before the shuffle, so that a node of very many links is no
-    single task's. No pairs in, no rows out; null and equal pairs and loops count for nothing.
+    Contractions go on until the edges stay as they are; their number grows with the logarithm of the longest chain. Minima are combined before the
+    shuffle, so that a node of very many links is no single task's. No pairs in, no rows out; null and equal pairs and loops count for nothing.
     """
-    ordered = lambda df: df.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges = written(ordered(pairs), "edges")
-    while not _is_forest(edges):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = _nearest(both).select("u", F.least("u", "m").alias("m"))
-        large = ordered(both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        large = written(large, "edges")
-        low = _nearest(large)
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        edges = written(ordered(small), "edges")
+    mark = {"xor": F.bit_xor(F.xxhash64("u", "v"))}
+    edges = written(_ordered(pairs), "edges", **mark)
+    while edges.stored.rows:
+        last, edges = edges, written(_contracted(edges), "edges", **mark)
+        forget(last)
+        if (edges.stored.rows, edges.stored.found) == (last.stored.rows, last.stored.found):
+            break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

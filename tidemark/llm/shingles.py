@@ -57,15 +57,12 @@ def minhash(found: np.ndarray, chunk: int = 1024) -> np.ndarray:
     return out
 
 
-def set_hash(found: np.ndarray) -> int:
-    """A signed 64-bit hash of a set of shingles."""
-    return int(mix(np.array([np.bitwise_xor.reduce(mix(found + np.uint64(1))) + np.uint64(found.size)])).astype(np.int64)[0])
+def signature(found: np.ndarray) -> np.ndarray:
+    """The lower 16 bits of each MinHash value: those of different sets also agree with a probability of 1 / 65,536."""
+    return mix(minhash(found).astype(np.uint64)).astype(np.uint16)
 
 
-def bands(values: np.ndarray, rows: int) -> np.ndarray:
-    """Signed 64-bit hashes of each run of `rows` values and its place."""
-    parts = values.astype(np.uint64).reshape(-1, rows)
-    total = np.arange(1, len(parts) + 1, dtype=np.uint64) * _WORD_WEIGHTS[rows]
-    for j in range(rows):
-        total = mix(total + parts[:, j] * _WORD_WEIGHTS[j])
-    return total.astype(np.int64)
+def set_hash(found: np.ndarray) -> bytes:
+    """128 bits of hash of a set of shingles."""
+    size = np.uint64(found.size)
+    return b"".join(mix(np.array([np.bitwise_xor.reduce(mix(found + np.uint64(salt))) + size])).tobytes() for salt in (1, 0x5851F42D4C957F2D))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, small_side, text_or_empty, written
+from tidemark.llm.common import SPACE, WORD, forget, small_side, spare, text_or_empty, written
 
 WEIGHTS = (5, 2, 1)
 #: A document is taken at most so many times.
@@ -19,7 +22,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     """(source, source_size, target) from (source, size). Sources in code point order, null last, weigh weights in turn.
 
     All sizes together are shared out by weight; a target above most * source_size is cut to that and the excess shared among
-    the others. With sources ordered by cap / weight, the cut ones come first, which gives the level for the rest at once.
+    the others. With sources ordered by cap / weight, the cut ones come first, which gives the level for the rest at once. The
+    windows run in one task, over a row for each source: up to some millions of sources, not one for each document.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
@@ -65,83 +69,95 @@ def _settle(units: Column, seed: int) -> Column:
     return F.aggregate(F.slice(units, 2, 1 << 30), first, step)
 
 
+def same_source(left: str, right: str) -> Column:
+    return F.col(f"{left}.source").eqNullSafe(F.col(f"{right}.source"))
+
+
 def round_copies(units: DataFrame, seed: int = 0, fan_in: int = FAN_IN) -> DataFrame:
     """(source, h) of the units that are taken, of units (source, h, size, p) with 0 < p < 1 and h unique in its source.
 
-    Level 0 settles units of like size in nodes of about fan_in; each node leaves at most one. What is left of a source is
-    settled in the same way until one node holds it; the last unit, a small one since nodes go from large to small, is drawn.
-    A node's size is bounded as h spreads the units; no task or driver sees a source as a whole.
+    Level 0 settles units of like size in nodes of about fan_in; each node leaves one at most. What is left of a source is settled in the
+    same way until one node holds it; the last unit, a small one since nodes go from large to small, is drawn. How many nodes a level
+    needs follows from counts taken once. A node's size is bounded as h spreads the units; no task or driver sees a source as a whole.
     """
-    level, found, left = 0, [], written(units.select("source", "h", F.col("size").cast("double").alias("size"), F.col("p").cast("double").alias("p")), "mix-units")
+    band = F.floor(F.log2(F.col("size")) * 8).cast("int").alias("band")
+    left = written(units.select("source", "h", F.col("size").cast("double").alias("size"), F.col("p").cast("double").alias("p"), band), "mix-units")
+    counts = left.groupBy("source", "band").agg(F.ceil(F.count("*") / fan_in).alias("nodes"))
+    counts = written(counts.withColumn("next", F.sum("nodes").over(Window.partitionBy("source"))), "mix-counts", most=F.max("next"))
+    rows = left.alias("u").join(small_side(counts).alias("c"), same_source("u", "c") & (F.col("u.band") == F.col("c.band"))).select("u.*", "c.nodes", "c.next")
+    most, level, found = counts.stored.found["most"] or 0, 0, []
     while True:
-        band = F.floor(F.log2(F.col("size")) * 8) if level == 0 else F.lit(0)
-        keyed = left.withColumn("band", band.cast("int"))
-        counts = keyed.groupBy("source", "band").agg(F.count("*").alias("n"))
-        last = (counts.agg(F.max("n")).first()[0] or 0) <= fan_in and level > 0
-        keyed = keyed.alias("u").join(counts.alias("c"), F.col("u.source").eqNullSafe(F.col("c.source")) & (F.col("u.band") == F.col("c.band")))
-        keyed = keyed.select("u.source", "u.band", "h", "size", "p", F.pmod(F.xxhash64("h", F.lit(level)), F.ceil(F.col("n") / fan_in)).alias("node"))
-        nodes = keyed.groupBy("source", "band", "node").agg(F.sort_array(F.collect_list(F.struct("size", "h", "p")), asc=False).alias("units"))
-        done = written(nodes.select("source", _settle(F.col("units"), seed).alias("s")).select("source", "s.taken", "s.rest"), f"mix-{level}")
+        node = F.pmod(F.xxhash64("h", F.lit(level)), F.col("nodes")).alias("node")
+        nodes = rows.groupBy("source", "band", node, "next").agg(F.sort_array(F.collect_list(F.struct("size", "h", "p")), asc=False).alias("units"))
+        done = written(nodes.select("source", "next", _settle(F.col("units"), seed).alias("s")).select("source", "next", "s.taken", "s.rest"), f"mix-{level}")
         found.append(done.select("source", F.explode("taken").alias("h")))
-        rest = done.filter("rest is not null").select("source", "rest.h", "rest.size", "rest.p")
-        if last:
-            found.append(rest.filter(_unit(F.lit(seed), F.col("h")) < F.col("p")).select("source", "h"))
+        rest = done.filter("rest is not null")
+        if level and most <= fan_in:
+            found.append(rest.select("source", "rest.*").filter(_unit(F.lit(seed), F.col("h")) < F.col("p")).select("source", "h"))
             break
-        left, level = rest, level + 1
-    out = found[0]
-    for x in found[1:]:
-        out = out.unionByName(x)
-    return out
+        most = ceil(most / fan_in) if level else most
+        nodes_now = F.ceil(F.col("next") / fan_in)
+        rows = rest.select("source", "rest.h", "rest.size", "rest.p", F.lit(0).alias("band"), nodes_now.alias("nodes"), nodes_now.alias("next"))
+        level += 1
+    forget(left, counts)
+    return reduce(DataFrame.unionByName, found)
 
 
-def _copy() -> Column:
-    """What tells texts apart whose doc_id is null or repeated."""
-    return F.xxhash64(F.col("doc_id"), F.col("source"), F.col("text"))
+def _hash(seed: int) -> Column:
+    """What tells documents apart, also those whose doc_id is null or repeated."""
+    return F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("source"), F.col("text"))
+
+
+def _copies(most: int) -> tuple[Column, Column]:
+    """(whole, p) of the copies of rows that are alike: their source's ratio times their number, split at the decimal point."""
+    ratio = F.when(F.col("source_size") > 0, F.least(F.lit(float(most)), F.col("target") / F.col("source_size"))).otherwise(0.0)
+    want = F.round(ratio * F.col("rows"), 12)
+    part = want - F.floor(want)
+    return F.floor(want) + F.when(part >= 1 - EPS, 1).otherwise(0), F.when((part > EPS) & (part < 1 - EPS), part).otherwise(0.0)
+
+
+def _settled(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(units, goal), both stored. units: doc_id, source, size, h, rows (alike in doc_id, source and text), whole, copies (of all those rows)."""
+    narrow = written(docs.select("doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"), _hash(seed).alias("h")), "mix-sizes")
+    goal = written(targets(narrow, weights, most), "mix-targets")
+    units = narrow.groupBy("doc_id", "source", "size", "h").agg(F.count("*").alias("rows"))
+    units = units.alias("u").join(small_side(goal).alias("g"), same_source("u", "g")).select("u.*", "source_size", "target")
+    whole, p = _copies(most)
+    words = F.col("size") > 0
+    units = written(units.select("doc_id", "source", "size", "h", "rows", "source_size", "target", F.when(words, whole).otherwise(0).alias("whole"), F.when(words, p).otherwise(0.0).alias("p")), "mix-wanted")
+    more = round_copies(units.filter("p > 0").select("source", "h", "size", "p"), seed).select(F.col("h").alias("more")).distinct()
+    more = written(more, "mix-more")
+    settled = units.join(small_side(more), F.col("h") == F.col("more"), "left").withColumn("copies", F.col("whole") + F.when((F.col("p") > 0) & F.col("more").isNotNull(), 1).otherwise(0))
+    return settled.drop("p", "more"), goal
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = 0) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken (= size * copies).
+    """One row per document: doc_id, size, source_size, target, taken (= size * copies), then source and copies.
 
     The expected copies of each document are its source's target / source_size; the copies drawn are that number rounded down or
     up, so that a source's words differ from its target by less than one document. Null texts and texts without words have size
     0 and no copies; a null source is a source of its own. Rows alike in doc_id, source and text are rounded as one and share
     the copies out. Other columns are ignored. No rows in, no rows out. The draw depends on seed, doc_id, source and text alone.
     """
-    return _mixed(docs, weights, most, seed).drop("copy")
-
-
-def _mixed(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int) -> DataFrame:
-    """The rows of mix with the hash of their text (copy)."""
-    narrow = written(docs.select("doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"), _copy().alias("copy")), "mix-sizes")
-    goal = written(targets(narrow, weights, most), "mix-targets")
-    units = narrow.groupBy("doc_id", "source", "size", "copy").agg(F.count("*").alias("rows"))
-    units = units.alias("u").join(goal.alias("g"), F.col("u.source").eqNullSafe(F.col("g.source"))).select("doc_id", "u.source", "size", "copy", "rows", "source_size", "target")
-    ratio = F.when(F.col("source_size") > 0, F.least(F.lit(float(most)), F.col("target") / F.col("source_size"))).otherwise(0.0)
-    want = F.when(F.col("size") > 0, F.round(ratio * F.col("rows"), 12)).otherwise(0.0)
-    units = units.withColumn("want", want).withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "source", "size", "copy"))
-    units = units.withColumn("p", F.col("want") - F.floor("want"))
-    open_ = units.filter((F.col("p") > EPS) & (F.col("p") < 1 - EPS)).select("source", "h", "size", "p")
-    one_more = round_copies(open_, seed).select(F.col("source").alias("s2"), F.col("h").alias("h2")).distinct()
-    settled = units.join(one_more, F.col("source").eqNullSafe(F.col("s2")) & (F.col("h") == F.col("h2")), "left")
-    settled = settled.withColumn("copies", F.when(F.col("p") >= 1 - EPS, F.ceil("want")).otherwise(F.floor("want")) + F.when(F.col("h2").isNotNull(), 1).otherwise(0))
-    once = settled.filter("rows = 1")
-    again = settled.filter("rows > 1").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-    cols = ["doc_id", "source", "size", "copy", "source_size", "target", F.col("copies").cast("long").alias("copies")]
-    share = F.floor(F.col("copies") / F.col("rows")) + F.when(F.col("k") <= F.col("copies") % F.col("rows"), 1).otherwise(0)
-    out = once.select(*cols).unionByName(again.withColumn("copies", share).select(*cols))
-    return out.withColumn("taken", F.col("size") * F.col("copies"))
+    units, _ = _settled(docs, weights, most, seed)
+    share = F.floor(F.col("copies") / F.col("rows")) + F.when(F.col("k") < F.col("copies") % F.col("rows"), 1).otherwise(0)
+    each = units.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("rows").cast("int") - 1))).withColumn("copies", share.cast("long"))
+    return each.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
 def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = 0) -> DataFrame:
     """docs as the mix takes them: each row as often as its copies say, in docs' own columns. Rows without words are not taken.
 
-    Rows alike in doc_id, source and text must be alike in all columns, since one of them stands for the others.
+    A row's copies follow from its source alone, but for those that were rounded up and those that are alike with others: only these
+    are joined. Of rows alike in doc_id, source and text, which must be alike in all columns, one stands for the others.
     """
-    per_row = _mixed(docs, weights, most, seed).groupBy("doc_id", "source", "size", "copy").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    copies = written(per_row.filter("copies > 0").select(*(F.col(c).alias(f"__mix_{c}") for c in per_row.columns)), "mix-copies")
-    rows = docs.withColumn("__mix_words", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")).withColumn("__mix_text", _copy())
-    same = F.col("doc_id").eqNullSafe(F.col("__mix_doc_id")) & F.col("source").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_words") == F.col("__mix_size")) & (F.col("__mix_text") == F.col("__mix_copy"))
-    joined = rows.join(small_side(copies), same)
-    if not copies.filter("__mix_rows > 1").isEmpty():
-        joined = joined.filter("__mix_rows = 1").unionByName(joined.filter("__mix_rows > 1").dropDuplicates(["__mix_doc_id", "__mix_source", "__mix_words", "__mix_copy"]))
-    return joined.withColumn("__mix_k", F.explode(F.sequence(F.lit(1), F.col("__mix_copies").cast("int")))).select(*docs.columns)
+    units, goal = _settled(docs, weights, most, seed)
+    odd = written(units.filter("copies <> whole or rows > 1").select("h", F.col("copies").alias("own"), "rows"), "mix-odd", again=F.count_if(F.col("rows") > 1))
+    whole, _ = _copies(most)
+    base = goal.withColumn("rows", F.lit(1)).select("source", whole.alias("base"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source"), _hash(seed).alias("h"), text_or_empty().rlike(f"[^{SPACE}]").alias("words"))
+    rows = rows.alias("r").join(small_side(goal, base).alias("b"), same_source("r", "b")).select("row", "h", "words", "base").join(small_side(odd), "h", "left")
+    rows = rows.withColumn("copies", F.when(F.col("words"), F.coalesce("own", "base")).otherwise(0).cast("int")).filter("copies > 0")
+    if odd.stored.found["again"]:
+        rows = rows.filter("rows is null or rows = 1").unionByName(rows.filter("rows > 1").dropDuplicates(["h"]))
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -5,66 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BROADCAST_ROWS, SPACE, text_or_empty, written
+from tidemark.llm.common import SPACE, fits, forget, join_counted, text_or_empty, written
 
 
-def exact_groups(docs: DataFrame, prefix_chars: int = 256, hash_all: bool = False, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Rows (doc_id, n_bytes, text_sha256, n_code_points, row) with `in_play`: whether length and prefix left the row in play.
+def exact_groups(docs: DataFrame, prefix_chars: int = 256, hash_all: bool = False, broadcast_bytes: int | None = None) -> DataFrame:
+    """Stored rows (doc_id, n_bytes, text_sha256, n_code_points, in_play, row); in_play: whether length and prefix left the row in play.
 
-    One scan counts (length, prefix hash): a length that occurs once ends there, so does a prefix that occurs once in its
-    length. A second scan hashes whole texts. With few keys left in play they are broadcast, and only their rows are hashed;
-    with more, every row is hashed where it is read, since that is cheaper than moving texts to the keys. hash_all hashes
-    the other rows too, for callers that want the digest of each row.
+    One scan counts (length, prefix hash): a length that occurs once ends there, so does a prefix that occurs once in its length. A
+    second scan hashes whole texts of the rows in play, or of all with hash_all. With few keys in play (by measured bytes) they are
+    broadcast; with more, hashes are worked out where texts are read, since that is cheaper than moving texts to the keys, and are
+    given up again for rows out of play: both ways return the same.
     """
-    rows = docs.select(
-        F.col("doc_id"),
-        F.regexp_replace(text_or_empty(), f"[{SPACE}]+", "").alias("norm"),
-        F.char_length(text_or_empty()).cast("long").alias("n_code_points"),
-    ).select(
-        "doc_id",
-        "norm",
-        "n_code_points",
-        F.octet_length("norm").cast("long").alias("n_bytes"),
-        F.xxhash64(F.substring("norm", 1, prefix_chars)).alias("prefix"),
-    )
+    rows = docs.select("doc_id", F.regexp_replace(text_or_empty(), f"[{SPACE}]+", "").alias("norm"), F.char_length(text_or_empty()).cast("long").alias("n_code_points"))
+    rows = rows.withColumns({"n_bytes": F.octet_length("norm").cast("long"), "prefix": F.xxhash64(F.substring("norm", 1, prefix_chars))})
     sizes = rows.groupBy("n_bytes", "prefix").agg(F.count("*").alias("n"))
-    in_play = written(sizes.filter("n > 1").select("n_bytes", "prefix", F.lit(True).alias("hit")), "exact-keys")
-    few = in_play.count() <= broadcast_rows
-    digest = F.sha2("norm", 256)
-    if few:
-        found = rows.join(F.broadcast(in_play), ["n_bytes", "prefix"], "left")
-        narrow = found.withColumn("text_sha256", digest if hash_all else F.when(F.col("hit"), digest))
+    in_play = written(sizes.filter("n > 1").withColumn("hit", F.lit(True)), "exact-keys")
+    digest, keys = F.sha2("norm", 256), ["n_bytes", "prefix"]
+    if fits(in_play, broadcast_bytes):
+        found = rows.join(F.broadcast(in_play), keys, "left").withColumn("text_sha256", digest if hash_all else F.when(F.col("hit"), digest))
     else:
-        narrow = rows.withColumn("text_sha256", digest)
-    narrow = narrow.select("doc_id", "n_bytes", "prefix", "n_code_points", "text_sha256", *(["hit"] if few else []))
-    if not few:
-        narrow = narrow.join(in_play, ["n_bytes", "prefix"], "left")
-    narrow = narrow.select("doc_id", "n_bytes", "text_sha256", "n_code_points", F.coalesce("hit", F.lit(False)).alias("in_play"))
-    return written(narrow.withColumn("row", F.monotonically_increasing_id()), "exact-rows")
+        hashed = written(rows.withColumn("text_sha256", digest).drop("norm"), "exact-hashes")
+        found = join_counted(hashed, in_play, keys, "n", hashed.stored.rows)
+        found = found if hash_all else found.withColumn("text_sha256", F.when(F.col("hit"), F.col("text_sha256")))
+    found = found.select("doc_id", "n_bytes", "text_sha256", "n_code_points", F.coalesce("hit", F.lit(False)).alias("in_play"))
+    out = written(found.withColumn("row", F.monotonically_increasing_id()), "exact-rows")
+    forget(in_play)
+    return out
 
 
-def exact_dedup(docs: DataFrame, prefix_chars: int = 256, hash_all: bool = False, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def exact_dedup(docs: DataFrame, prefix_chars: int = 256, hash_all: bool = False, broadcast_bytes: int | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when they are once spaces, tabs and line ends (\\x20, \\x09-\\x0D) are deleted; null is empty, and all empty
     texts are equal. Of a group the longest original text stays, then the smallest doc_id; of rows that tie in both, the first
     read. A null doc_id loses ties. Without hash_all, text_sha256 is null for rows that length or prefix had already told apart.
-    Other columns are ignored. No rows in, no rows out.
+    Other columns are ignored. No rows in, no rows out. A group of any size stays spread over tasks: its sizes are combined before
+    the shuffle, and its rows are joined with what is known of it by broadcast.
     """
-    rows = exact_groups(docs, prefix_chars, hash_all, broadcast_rows)
-    groups = (
-        rows.filter("in_play")
-        .groupBy("n_bytes", "text_sha256")
-        .agg(F.count("*").alias("group_size"), F.max(F.struct("n_code_points", (-F.col("doc_id")).alias("neg"), (-F.col("row")).alias("neg_row"))).alias("best"))
-        .filter("group_size > 1")
-    )
-    joined = rows.join(groups, ["n_bytes", "text_sha256"], "left")
+    rows = exact_groups(docs, prefix_chars, hash_all, broadcast_bytes)
+    best = F.min(F.struct((-F.col("n_code_points")).alias("less"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("best")
+    groups = rows.filter("in_play").groupBy("n_bytes", "text_sha256").agg(F.count("*").alias("group_size"), best).filter("group_size > 1")
+    groups = written(groups.select("n_bytes", "text_sha256", "group_size", F.col("best.doc_id").alias("first"), F.col("best.row").alias("best")), "exact-groups")
+    keys = ["n_bytes", "text_sha256"]
+    joined = rows.join(F.broadcast(groups), keys, "left") if fits(groups, broadcast_bytes) else join_counted(rows, groups, keys, "group_size", rows.stored.rows)
     alone = F.col("best").isNull()
     return joined.select(
         "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(-F.col("best.neg")).alias("keep_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.coalesce(-F.col("best.neg_row") == F.col("row"), F.lit(True)).alias("kept"),
+        F.coalesce(F.col("best") == F.col("row"), F.lit(True)).alias("kept"),
         "text_sha256",
     )
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts, small_side, text_batches, written
+from tidemark.llm.common import forget, key_of, map_texts, small_side, spare, written
 
 #: n-grams of 3 to 5 characters of lower-case words with their ends marked, hashed to so many features.
 FEATURES, SIZES = 1 << 18, (3, 4, 5)
@@ -66,15 +66,34 @@ def log_ratios(rows: DataFrame, smoothing: float = 1.0) -> np.ndarray:
         some = np.flatnonzero(sums.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype("i4")), pa.array(sums[1, some]), pa.array(sums[0, some])], names=["feature", "p", "q"])
 
-    got = map_texts(rows.select("text", "toxic"), count, "feature int, p long, q long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("q").alias("q")).toPandas()
+    counted = written(map_texts(rows.select("text", "toxic"), count, "feature int, p long, q long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("q").alias("q")), "toxic-counts")
+    got = counted.toPandas()
+    forget(counted)
     p, q = np.full(FEATURES, smoothing), np.full(FEATURES, smoothing)
     p[got["feature"]] += got["p"]
     q[got["feature"]] += got["q"]
     return np.log((p / p.sum()) / (q / q.sum())).astype(np.float32)
 
 
+def descend(data: list[tuple[np.ndarray, int]], ratios: np.ndarray, heavy: tuple[float, float], prior: float, epochs: int, rate: float, seed: int) -> tuple[np.ndarray, float]:
+    """(weights, bias) by logistic regression with AdaGrad on rows (features, class), each class weighted by heavy. The order of data doesn't matter."""
+    data = sorted(data, key=lambda r: (zlib.crc32(r[0].tobytes()), r[1]))
+    w, b, gw, gb, order = np.zeros(FEATURES), prior, np.full(FEATURES, 1e-2), 1e-2, np.random.default_rng(seed)
+    for _ in range(epochs):
+        for at in order.permutation(len(data)):
+            ids, y = data[at]
+            x = ratios[ids]
+            off = heavy[y] * (1 / (1 + np.exp(-np.clip(w[ids] @ x + b, -30, 30))) - y)
+            step = off * x
+            gw[ids] += step * step
+            w[ids] -= rate * step / np.sqrt(gw[ids])
+            gb += off * off
+            b -= rate * off / np.sqrt(gb)
+    return (w * ratios).astype(np.float32), float(b)
+
+
 def fit(rows: DataFrame, ratios: np.ndarray, fit_rows: int = FIT_ROWS, epochs: int = 12, rate: float = 0.1, seed: int = 0) -> tuple[np.ndarray, float]:
-    """(weights, bias) by logistic regression with AdaGrad on about fit_rows rows of each class, those of the smallest hashes of doc_id.
+    """(weights, bias) fitted on about fit_rows rows of each class, those of the smallest hashes of doc_id, in one task on an executor.
 
     Rows of a class stand for as many as the class has in all, so that scores keep to the labels' share. With rows of one class
     alone, or none, scores follow that share and nothing else.
@@ -82,8 +101,9 @@ def fit(rows: DataFrame, ratios: np.ndarray, fit_rows: int = FIT_ROWS, epochs: i
     counts = {int(r["toxic"] > 0): r["n"] for r in rows.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
     share = (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 1)
     prior = float(np.log(share / (1 - share)))
+    plain = np.zeros(FEATURES, np.float32), prior
     if len(counts) < 2:
-        return np.zeros(FEATURES, np.float32), prior
+        return plain
 
     def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -93,24 +113,22 @@ def fit(rows: DataFrame, ratios: np.ndarray, fit_rows: int = FIT_ROWS, epochs: i
     # Chosen row by row where they are read: no sort, and no task sees more than its own.
     place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     some = rows.filter(place < F.when(F.col("toxic") > 0, F.lit(fit_rows / counts[1])).otherwise(F.lit(fit_rows / counts[0]))).select("text", "toxic")
-    got = map_texts(some, found, "toxic int, ids binary").toArrow()
-    data = sorted(((np.frombuffer(x.as_py(), np.int32), int(y.as_py() > 0)) for y, x in zip(got["toxic"], got["ids"], strict=True)), key=lambda r: (zlib.crc32(r[0].tobytes()), r[1]))
-    if len({y for _, y in data}) < 2:
-        return np.zeros(FEATURES, np.float32), prior
-    heavy = [counts[c] / sum(y == c for _, y in data) for c in (0, 1)]
-    heavy = [h * len(data) / sum(counts.values()) for h in heavy]
-    w, b, gw, gb, order = np.zeros(FEATURES), prior, np.full(FEATURES, 1e-2), 1e-2, np.random.default_rng(seed)
-    for _ in range(epochs):
-        for at in order.permutation(len(data)):
-            ids, y = data[at]
-            x = ratios[ids]
-            off = heavy[y] * (1 / (1 + np.exp(-np.clip(w[ids] @ x + b, -30, 30))) - y)
-            step = off * x
-            gw[ids] += step * step
-            w[ids] -= rate * step / np.sqrt(gw[ids])
-            gb += off * off
-            b -= rate * off / np.sqrt(gb)
-    return (w * ratios).astype(np.float32), float(b)
+    sample = written(map_texts(some, found, "toxic int, ids binary"), "toxic-sample", n1=F.count_if(F.col("toxic") > 0))
+    n1 = sample.stored.found["n1"]
+    n0 = sample.stored.rows - n1
+    if not n0 or not n1:
+        return plain
+    heavy = tuple(counts[c] / n * sample.stored.rows / sum(counts.values()) for c, n in ((0, n0), (1, n1)))
+
+    def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        data = [(np.frombuffer(x, np.int32), int(y > 0)) for b in batches for y, x in zip(b["toxic"].to_pylist(), b["ids"].to_pylist(), strict=True)]
+        w, bias = descend(data, ratios, heavy, prior, epochs, rate, seed)
+        yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([bias])], names=["w", "b"])
+
+    got = written(sample.repartition(1).mapInArrow(learn, "w binary, b double"), "toxic-model")
+    model = got.first()
+    forget(sample, got)
+    return np.frombuffer(model["w"], np.float32), model["b"]
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, float]:
@@ -125,7 +143,6 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     """
     spark: SparkSession = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)
-    text_batches(spark)
 
     @F.pandas_udf("double")
     def scores(texts):
@@ -144,12 +161,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
 
     Repeated rows are scored each; a null doc_id counts as held out. No rows in, no rows out; without labels every score is 0.5.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = score(rows.withColumn("held_out", held_out(F.col("doc_id"))), train(docs, labels, fit_rows))
-    return scored.select("doc_id", "held_out", "score", "predicted")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    return written(score(rows, train(docs, labels, fit_rows)).select("doc_id", "held_out", "score", "predicted"), "toxic-scores")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """docs without those that the classifier rejects, in docs' own columns."""
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
-    return score(own, train(docs, labels, fit_rows)).filter("predicted = 0").select("row.*")
+    """docs without those that the classifier rejects, in docs' own columns. Only hashes of the rejected ones are joined back."""
+    key = spare(docs, "key")
+    scored = score(docs.select(key_of().alias(key), "text"), train(docs, labels, fit_rows))
+    bad = written(scored.filter("predicted = 1").select(key), "toxic-keys")
+    return docs.withColumn(key, key_of()).join(small_side(bad), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_texts, new_path
+from tidemark.llm.common import map_texts, new_path, text_batches
 from tidemark.llm.tokens import encoder
 
 END = 2
@@ -41,9 +41,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, par
                 pos += len(some)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.repartitionByRange(*([partitions] if partitions else []), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # Rows with one doc_id, or none, may be many: the range is split further by how their texts begin, which agrees with the order by text.
+    begin = F.substring("text", 1, 32).asc_nulls_first()
+    rows = rows.repartitionByRange(*([partitions] if partitions else []), F.col("doc_id").asc_nulls_first(), begin).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": str(stride), "orc.stripe.size": str(stripe_mb << 20), "compression": "zstd"}
-    map_texts(rows, encode, _FILE).write.options(**options).orc(path)
+    with text_batches(docs.sparkSession):
+        map_texts(rows, encode, _FILE).write.options(**options).orc(path)
 
 
 def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:

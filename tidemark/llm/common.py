@@ -19,6 +19,8 @@ WORD = f"[^{SPACE}]+"
 
 #: Bytes, as measured when it was stored, up to which a table is broadcast; beyond it the join shuffles.
 BROADCAST_BYTES = 24 << 20
+#: The same for joins in which no texts would move: shuffling narrow rows costs less than many copies of a large table.
+NARROW_BYTES = 1 << 20
 #: A key with more than one in so many of all rows is hot; there can be no more such keys than this.
 HOT_KEYS = 1000
 #: Rows of an Arrow batch of texts: Spark's own 10,000 suit numbers, not texts.
@@ -111,11 +113,11 @@ def fits(stored: DataFrame, limit: int | None = None) -> bool:
     return stored.stored.bytes <= (BROADCAST_BYTES if limit is None else limit)
 
 
-def small_side(stored: DataFrame, df: DataFrame | None = None) -> DataFrame:
+def small_side(stored: DataFrame, df: DataFrame | None = None, limit: int | None = None) -> DataFrame:
     """A stored table, or df that was made of it with no more rows or wider ones, with a broadcast hint if its size was measured to fit;
     else as it is, for a shuffle join."""
     df = stored if df is None else df
-    return F.broadcast(df) if fits(stored) else df
+    return F.broadcast(df) if fits(stored, limit) else df
 
 
 def join_counted(rows: DataFrame, groups: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:

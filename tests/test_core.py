@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import catalogue
 from tidemark.functions import cleaning as C
-from tidemark.functions.amounts import parse_amount
+from tidemark.functions.amounts import with_amount
 from tidemark.operators import audit, features, tables
 from tidemark.sources import readers, writers
 
@@ -68,7 +68,7 @@ AMOUNTS = [
 
 
 def test_amounts(spark):
-    got = spark.createDataFrame([(i, a[0]) for i, a in enumerate(AMOUNTS)], "i int, t string").select("i", parse_amount(F.col("t")).alias("a")).orderBy("i").collect()
+    got = with_amount(spark.createDataFrame([(i, a[0]) for i, a in enumerate(AMOUNTS)], "i int, t string"), "t", "a").orderBy("i").collect()
     for want, r in zip(AMOUNTS, got, strict=True):
         value = None if want[1] is None else Decimal(str(want[1])).quantize(Decimal("0.01"))
         assert (r.a.amount, r.a.format, r.a.currency, r.a.is_negative) == (value, *want[2:]), want[0]

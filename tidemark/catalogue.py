@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import cleaning as C
-from tidemark.functions.amounts import parse_amount
+from tidemark.functions.amounts import with_amount
 from tidemark.operators import audit, features, tables
 from tidemark.plans import marts, transactions
 from tidemark.sources.readers import AMOUNT_SQL, json_pairs, raw_transactions, table
@@ -73,7 +73,7 @@ _RAW = AMOUNT_SQL.replace(" as string", " AS VARCHAR")
 @_query(f"""WITH {_NUMBERS} SELECT event_id, {_RAW} AS amount_raw, CAST({_VALUE} AS DOUBLE) AS amount, {_FORMAT} AS format,
  CASE WHEN event_id % 8 IN (0, 1, 7) THEN 'USD' WHEN event_id % 8 = 4 THEN 'VND' END AS currency, event_id % 8 IN (1, 3) AS is_negative FROM n""")
 def amounts(spark, sf_dir):
-    raw = table(spark, sf_dir, "events").selectExpr("event_id", f"{AMOUNT_SQL} as amount_raw").withColumn("a", parse_amount(F.col("amount_raw")))
+    raw = with_amount(table(spark, sf_dir, "events").selectExpr("event_id", f"{AMOUNT_SQL} as amount_raw"), "amount_raw", "a")
     return raw.select("event_id", "amount_raw", F.col("a.amount").cast("double").alias("amount"), "a.format", "a.currency", "a.is_negative")
 
 
@@ -124,20 +124,20 @@ def lookup_default(spark, sf_dir):
     return tables.look_up(rows, table(spark, sf_dir, "part").filter("p_partkey % 3 <> 0").select("p_partkey", "p_brand"), "p_partkey", "p_brand").drop("p_partkey")
 
 
-_DIM = "SELECT c_custkey, c_mktsegment, DATE '2024-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current FROM customer WHERE c_custkey % 4 <> 0"
+_DIM = "SELECT c_custkey, c_mktsegment, DATE '2024-01-01' AS valid_from, DATE '9999-12-31' AS valid_to, true AS is_current FROM customer WHERE c_custkey % 4 <> 0"
 
 
 def _versions(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    dim = c.filter("c_custkey % 4 <> 0").selectExpr("c_custkey", "c_mktsegment", "date'2024-01-01' as valid_from", "cast(null as date) as valid_to", "true as is_current")
+    dim = c.filter("c_custkey % 4 <> 0").selectExpr("c_custkey", "c_mktsegment", "date'2024-01-01' as valid_from", "date'9999-12-31' as valid_to", "true as is_current")
     now = c.selectExpr("c_custkey", "case when c_custkey % 5 = 0 then 'MOVED' when c_custkey % 7 = 0 then null else c_mktsegment end as c_mktsegment")
     return tables.merge_versions(dim, now, "c_custkey", ["c_mktsegment"], F.lit("2024-01-15").cast("date"))
 
 
 _SCD = f"""d AS ({_DIM}), s AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'MOVED' WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer),
 ch AS (SELECT s.* FROM s LEFT JOIN d USING (c_custkey) WHERE d.is_current IS NULL OR s.c_mktsegment IS DISTINCT FROM d.c_mktsegment),
-v AS (SELECT c_custkey, c_mktsegment, valid_from, CASE WHEN c_custkey IN (SELECT c_custkey FROM ch) THEN DATE '2024-01-15' END AS valid_to, c_custkey NOT IN (SELECT c_custkey FROM ch) AS is_current FROM d
- UNION ALL SELECT c_custkey, c_mktsegment, DATE '2024-01-15', NULL, true FROM ch)"""
+v AS (SELECT c_custkey, c_mktsegment, valid_from, CASE WHEN c_custkey IN (SELECT c_custkey FROM ch) THEN DATE '2024-01-15' ELSE valid_to END AS valid_to, c_custkey NOT IN (SELECT c_custkey FROM ch) AS is_current FROM d
+ UNION ALL SELECT c_custkey, c_mktsegment, DATE '2024-01-15', DATE '9999-12-31', true FROM ch)"""
 
 
 @_query(f"WITH {_SCD} SELECT * FROM v", "valid_from", "valid_to")
@@ -172,12 +172,12 @@ def label_changes(spark, sf_dir):
     return audit.pending(changes, changes.filter("transaction_id % 4 = 0").select("change_id")).drop("knowledge_date")
 
 
-@_query(f"""WITH {_CHANGES}, days AS (SELECT f.*, coalesce(c.new_is_fraud, f.is_fraud) AS after_fraud FROM facts f LEFT JOIN ch c USING (transaction_id) WHERE f.event_date IN (SELECT event_date FROM ch)),
+@_query(f"""WITH {_CHANGES}, days AS (SELECT f.*, CASE WHEN c.change_id IS NULL THEN f.is_fraud ELSE c.new_is_fraud END AS after_fraud FROM facts f LEFT JOIN ch c USING (transaction_id) WHERE f.event_date IN (SELECT event_date FROM ch)),
 b AS (SELECT event_date, amount, is_fraud, 'BEFORE' AS snapshot_type FROM days UNION ALL SELECT event_date, amount, after_fraud, 'AFTER' FROM days)
 SELECT event_date, snapshot_type, count(*) FILTER (is_fraud) AS fraud_txn_count, round(coalesce(sum(amount) FILTER (is_fraud), 0), 8) AS fraud_amount_sum, count(*) AS total_txn_count, round(sum(amount), 8) AS total_amount_sum FROM b GROUP BY ALL""", "event_date")
 def restatement(spark, sf_dir):
     rows, changes = _changes(spark, sf_dir)
-    return audit.restatement_report(rows, changes, keep_cleared=True).withColumns({c: F.round(c, 8) for c in ("fraud_amount_sum", "total_amount_sum")})
+    return audit.restatement_report(rows, changes).withColumns({c: F.round(c, 8) for c in ("fraud_amount_sum", "total_amount_sum")})
 
 
 _TIER = "CASE WHEN fraud_rate >= 0.10 THEN 'CRITICAL' WHEN fraud_rate >= 0.05 THEN 'HIGH' WHEN fraud_rate >= 0.02 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier"
@@ -246,3 +246,6 @@ def json_labels(spark, sf_dir):
     e = table(spark, sf_dir, "events").selectExpr("concat('{\"t', event_id, '\": \"', case when event_id % 3 = 0 then 'Yes' else 'No' end, '\"}') as j", "event_id")
     e = e.withColumn("j", F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"target": '), "j", F.lit("}"))).otherwise(F.col("j")))
     return json_pairs(e.unionByName(e.filter("event_id % 5 = 0")), "j").withColumn("is_fraud", C.yes_or_no(F.col("value")))
+
+
+from tidemark import catalogue_lake  # noqa: E402, F401  what jobs leave on disk, registered here as well

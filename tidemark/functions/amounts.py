@@ -1,8 +1,8 @@
-"""Money amounts in several notations as one column expression."""
+"""Money amounts in several notations, read in steps of plain expressions so that all of it is generated code."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Signs, currency codes and words for a missing amount.
@@ -10,62 +10,54 @@ SIGNS = {"$": "USD", "€": "EUR", "£": "GBP", "₫": "VND", "¥": "JPY"}
 CODES = ("USD", "EUR", "GBP", "VND", "JPY", "SGD", "THB")
 MISSING = ("", "-", "N/A", "n/a", "NULL", "null", "none")
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_WORD = r"(?i)\b(" + "|".join(CODES) + r")\b"
 
 
-def _let(value: Column, use) -> Column:
-    """use(value), with value worked out once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+def with_amount(df: DataFrame, text: str, into: str) -> DataFrame:
+    """df with into: struct(amount decimal(18,2), currency, format, is_negative, note) of the column text; format is US, EU, VN, CLEAN, AMBIGUOUS or INVALID.
 
-
-def parse_amount(text: Column) -> Column:
-    """struct(amount decimal(18,2), currency, format, is_negative, note); format is US, EU, VN, CLEAN, AMBIGUOUS or INVALID.
-
-    With both separators the last one is the decimal point. One separator before exactly three digits could be either: that is
-    AMBIGUOUS, without amount, unless the currency is VND, which has no cents. Repeated separators group thousands. nan and inf are INVALID.
+    A currency sign counts at the start alone, else the first code anywhere; one level of minus or brackets goes. With both separators the
+    last one is the decimal point. One separator before exactly three digits could be either: that is AMBIGUOUS, without amount, unless
+    the currency is VND, which has no cents. Repeated separators group thousands. nan and inf are INVALID. Each step is a column of its own
+    that the next ones use, so that nothing is worked out twice.
     """
-    return _let(F.trim(text), lambda t: F.when(t.isNull() | t.isin(*MISSING), _invalid(F.when(t.isNull(), "null input").otherwise("no amount"))).otherwise(_read(_parts(t))))
-
-
-def _parts(text: Column) -> Column:
-    """struct(currency, negative, body): a sign counts at the start alone, else the first code anywhere; one level of minus or brackets goes."""
-    word = r"(?i)\b(" + "|".join(CODES) + r")\b"
-    by_sign = F.coalesce(*[F.when(F.substring(text, 1, 1) == s, F.lit(c)) for s, c in SIGNS.items()])
-    code = F.upper(F.nullif(F.regexp_extract(text, word, 1), F.lit("")))
-    bare = F.trim(F.when(by_sign.isNotNull(), F.substring(text, 2, 1 << 20)).when(code.isNotNull(), F.regexp_replace(text, word, "")).otherwise(text))
-    bracketed = bare.rlike(r"^\(.*\)$")
-    body = F.when(bracketed, F.regexp_extract(bare, r"^\((.*)\)$", 1)).when(bare.startswith("-"), F.substring(bare, 2, 1 << 20)).otherwise(bare)
-    return F.struct(F.coalesce(by_sign, code).alias("currency"), (bracketed | bare.startswith("-")).alias("negative"), F.regexp_replace(body, "[ \u00a0]", "").alias("body"))
-
-
-def _invalid(note: Column) -> Column:
-    return F.struct(F.lit(None).cast("decimal(18,2)").alias("amount"), F.lit(None).cast("string").alias("currency"), F.lit("INVALID").alias("format"), F.lit(False).alias("is_negative"), note.alias("note"))
-
-
-def _read(parts: Column) -> Column:
-    def rest(p: Column) -> Column:
-        body, vnd = p["body"], F.coalesce(p["currency"] == "VND", F.lit(False))
-        dots, commas = F.regexp_count(body, F.lit(r"\.")), F.regexp_count(body, F.lit(","))
-        three = body.rlike(r"[.,][^.,]{3}$")
-        last_dot = body.rlike(r"\.[^,]*$") & ~body.rlike(r",[^.]*$")
-        kind = (
-            F.when((dots == 0) & (commas == 0), "CLEAN")
+    t, sign, code, bare, body, kind, plain, number = (F.col(f"__{c}") for c in ("t", "sign", "code", "bare", "body", "kind", "plain", "number"))
+    given = t.isNotNull() & ~t.isin(*MISSING)
+    bracketed, minus = F.col("__bracketed"), F.col("__minus")
+    dots, commas = F.col("__dots"), F.col("__commas")
+    last_dot = F.char_length(F.substring_index(body, ".", -1)) < F.char_length(F.substring_index(body, ",", -1))
+    three = F.char_length(F.substring_index(F.translate(body, ",", "."), ".", -1)) == 3
+    steps: list[dict[str, Column]] = [
+        {"t": F.trim(text)},
+        {"sign": F.coalesce(*[F.when(F.substring(t, 1, 1) == s, F.lit(c)) for s, c in SIGNS.items()]), "code": F.when(given & t.rlike("[A-Za-z]"), F.upper(F.nullif(F.regexp_extract(t, _WORD, 1), F.lit(""))))},
+        {"bare": F.trim(F.when(sign.isNotNull(), F.substring(t, 2, 1 << 20)).when(code.isNotNull(), F.regexp_replace(t, _WORD, "")).otherwise(t))},
+        {"bracketed": bare.startswith("(") & bare.endswith(")") & (F.char_length(bare) > 1), "minus": bare.startswith("-")},
+        {"body": F.translate(F.when(bracketed, F.substring(bare, F.lit(2), F.char_length(bare) - 2)).when(minus, F.substring(bare, 2, 1 << 20)).otherwise(bare), "  ", "")},
+        {"dots": F.char_length(body) - F.char_length(F.translate(body, ".", "")), "commas": F.char_length(body) - F.char_length(F.translate(body, ",", ""))},
+        {
+            "kind": F.when((dots == 0) & (commas == 0), "CLEAN")
             .when((dots > 0) & (commas > 0), F.when(last_dot, "US").otherwise("EU"))
             .when(dots > 1, "VN")
             .when(commas > 1, "US")
-            .when(three, F.when(vnd, "VN").otherwise("AMBIGUOUS"))
+            .when(three, F.when(F.coalesce(sign, code) == "VND", "VN").otherwise("AMBIGUOUS"))
             .when(dots == 1, "CLEAN")
             .otherwise("EU")
-        )
-        plain = lambda k: F.when(k == "VN", F.translate(body, ".,", "")).when(k == "US", F.translate(body, ",", "")).when(k == "EU", F.translate(F.translate(body, ".", ""), ",", ".")).otherwise(body)
-
-        def done(k: Column) -> Column:
-            number = F.when(plain(k).rlike(_NUMBER), plain(k).try_cast("double"))
-            valid = number.isNotNull() & (k != "AMBIGUOUS")
-            value = F.when(valid, F.when(p["negative"], -number).otherwise(number)).try_cast("decimal(18,2)")
-            shown = F.when(k == "AMBIGUOUS", k).when(number.isNull(), "INVALID").otherwise(k)
-            note = F.when(k == "AMBIGUOUS", "one separator before three digits").when(number.isNull(), "not a number")
-            return F.struct(value.alias("amount"), p["currency"].alias("currency"), shown.alias("format"), p["negative"].alias("is_negative"), note.alias("note"))
-
-        return _let(kind, done)
-
-    return _let(parts, rest)
+        },
+        {"plain": F.when(kind == "VN", F.translate(body, ".,", "")).when(kind == "US", F.translate(body, ",", "")).when(kind == "EU", F.translate(body, ",.", ".")).otherwise(body)},
+        {"number": F.when(given & plain.rlike(_NUMBER), plain.try_cast("double"))},
+    ]
+    out = df
+    for step in steps:
+        out = out.withColumns({f"__{k}": v for k, v in step.items()})
+    ambiguous, lost = given & (kind == "AMBIGUOUS"), ~given | number.isNull()
+    negative = given & (bracketed | minus)
+    value = F.when(given & ~ambiguous, F.when(negative, -number).otherwise(number)).try_cast("decimal(18,2)")
+    note = F.when(t.isNull(), "null input").when(~given, "no amount").when(ambiguous, "one separator before three digits").when(number.isNull(), "not a number")
+    found = F.struct(
+        value.alias("amount"),
+        F.when(given, F.coalesce(sign, code)).alias("currency"),
+        F.when(ambiguous, "AMBIGUOUS").when(lost, "INVALID").otherwise(kind).alias("format"),
+        F.coalesce(negative, F.lit(False)).alias("is_negative"),
+        note.alias("note"),
+    )
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c != into], found.alias(into))

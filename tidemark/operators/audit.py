@@ -30,15 +30,16 @@ def label_changes(labels: DataFrame, history: DataFrame, index: DataFrame, knowl
 
 
 def pending(changes: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Changes that can be applied and that no run has applied yet; running twice therefore applies none twice."""
-    return changes.filter("change_type <> 'UNINDEXED'").join(ledger.select("change_id"), "change_id", "left_anti")
+    """Changes that can be applied and that no run has applied yet; running twice therefore applies none twice. Where the ledger has a status,
+    rows of another one than APPLIED don't count."""
+    done = ledger.filter("status = 'APPLIED'") if "status" in ledger.columns else ledger
+    return changes.filter("change_type <> 'UNINDEXED'").join(done.select("change_id"), "change_id", "left_anti")
 
 
-def restate(rows: DataFrame, changes: DataFrame, keep_cleared: bool = False) -> DataFrame:
-    """rows with the new labels over the old ones; a cleared label becomes null, or with keep_cleared stays what it was."""
+def restate(rows: DataFrame, changes: DataFrame) -> DataFrame:
+    """rows with the new labels over the old ones; a cleared label becomes null."""
     new = changes.filter("change_type <> 'UNINDEXED'").select("transaction_id", "new_is_fraud", "change_type")
-    old = F.col("change_type").isNull() | (F.lit(keep_cleared) & (F.col("change_type") == "LABEL_CLEARED"))
-    return rows.join(new, "transaction_id", "left").withColumn("is_fraud", F.when(old, F.col("is_fraud")).otherwise(F.col("new_is_fraud"))).drop("new_is_fraud", "change_type")
+    return rows.join(new, "transaction_id", "left").withColumn("is_fraud", F.when(F.col("change_type").isNull(), F.col("is_fraud")).otherwise(F.col("new_is_fraud"))).drop("new_is_fraud", "change_type")
 
 
 def affected(rows: DataFrame, changes: DataFrame) -> DataFrame:
@@ -56,17 +57,17 @@ def daily_report(rows: DataFrame) -> DataFrame:
     )
 
 
-def restatement_report(rows: DataFrame, changes: DataFrame, keep_cleared: bool = False) -> DataFrame:
+def restatement_report(rows: DataFrame, changes: DataFrame) -> DataFrame:
     """Reports of the affected days before and after."""
     days = affected(rows, changes)
-    return daily_report(days).withColumn("snapshot_type", F.lit("BEFORE")).unionByName(daily_report(restate(days, changes, keep_cleared)).withColumn("snapshot_type", F.lit("AFTER")))
+    return daily_report(days).withColumn("snapshot_type", F.lit("BEFORE")).unionByName(daily_report(restate(days, changes)).withColumn("snapshot_type", F.lit("AFTER")))
 
 
 def reconcile(raw: DataFrame, accepted: DataFrame, quarantined: DataFrame) -> DataFrame:
     """Per day: every raw row is a repeat of an id, accepted or quarantined; the rest is unexplained and must be 0. Rows without
-    an id repeat nothing."""
+    an id count as one id, as they do where the latest row of each id is taken."""
     per_id = raw.groupBy("event_date", "transaction_id").agg(F.count("*").alias("n"))
-    repeats = F.sum(F.when(F.col("transaction_id").isNotNull(), F.col("n") - 1).otherwise(0))
+    repeats = F.sum(F.col("n") - 1)
     counts = per_id.groupBy("event_date").agg(F.sum("n").alias("raw_count"), repeats.alias("duplicate_count"))
     for name, df in (("accepted_count", accepted), ("quarantined_count", quarantined)):
         counts = counts.join(df.groupBy("event_date").agg(F.count("*").alias(name)), "event_date", "left")

@@ -15,7 +15,8 @@ def point_in_time(df: DataFrame) -> DataFrame:
     the ratio to the mean so far, and calendar flags.
 
     Frames reach back by whole seconds, the limit included; transactions of the same second count, the row itself doesn't. Both
-    orders share the user, so that one shuffle serves all windows.
+    orders share the user, so that one shuffle serves all windows. A user's rows are one task's, as the mean so far needs all of them: a
+    user should be a person, not a key that a third of all rows have.
     """
     user = Window.partitionBy("user_id")
     at = F.unix_timestamp("transaction_date")

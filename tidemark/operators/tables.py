@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 from operator import or_
 
@@ -11,9 +12,9 @@ from pyspark.sql import functions as F
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of each key in the given order, which should be total for a result that never varies. A maximum of a struct would
-    do as well for few columns; the window keeps all of them in one shuffle."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    """The first row of each key in the given order; ties are broken by a hash of all columns, so that the result never varies. A maximum of a
+    struct would do as well for few columns; the window keeps all of them in one shuffle."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])))
     return df.withColumn("__place", place).filter("__place = 1").drop("__place")
 
 
@@ -36,6 +37,10 @@ def differs(left: str, right: str, columns: Sequence[str]) -> Column:
     return reduce(or_, (~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns))
 
 
+#: The end of a version that still holds.
+OPEN = date(9999, 12, 31)
+
+
 def merge_versions(dim: DataFrame, now: DataFrame, key: str, tracked: Sequence[str], day: Column) -> DataFrame:
     """A dimension of versions (key, *tracked, valid_from, valid_to, is_current) after the rows of now, one per key, came in on day.
 
@@ -45,7 +50,7 @@ def merge_versions(dim: DataFrame, now: DataFrame, key: str, tracked: Sequence[s
     current = dim.filter("is_current").alias("d")
     joined = now.select(key, *tracked).alias("s").join(current, key, "left")
     fresh = F.col("d.is_current").isNull()
-    news = joined.filter(fresh | differs("s", "d", tracked)).select(key, *[F.col(f"s.{c}").alias(c) for c in tracked], day.alias("valid_from"), F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"))
+    news = joined.filter(fresh | differs("s", "d", tracked)).select(key, *[F.col(f"s.{c}").alias(c) for c in tracked], day.alias("valid_from"), F.lit(OPEN).alias("valid_to"), F.lit(True).alias("is_current"))
     changed = news.select(key, F.lit(True).alias("__changed"))
     over = F.col("is_current") & F.coalesce("__changed", F.lit(False))
     old = dim.join(changed, key, "left").withColumn("valid_to", F.when(over, day).otherwise(F.col("valid_to"))).withColumn("is_current", F.col("is_current") & ~over).drop("__changed")

@@ -23,8 +23,9 @@ def merchants(facts: DataFrame) -> DataFrame:
     return out.withColumn("risk_tier", risk_tier(F.col("fraud_rate")))
 
 
-def monthly_risk(facts: DataFrame) -> DataFrame:
-    by = facts.groupBy("merchant_id", F.year("transaction_date").alias("year"), F.month("transaction_date").alias("month"), "mcc")
+def monthly_risk(facts: DataFrame, category: str = "mcc") -> DataFrame:
+    """By merchant, month and category: its code, or its text where facts are enriched."""
+    by = facts.groupBy("merchant_id", F.year("transaction_date").alias("year"), F.month("transaction_date").alias("month"), category)
     return by.agg(F.count("*").alias("total_txn_count"), F.count_if("is_fraud").alias("fraud_txn_count"), _rate()).withColumn("risk_tier", risk_tier(F.col("fraud_rate")))
 
 

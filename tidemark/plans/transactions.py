@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import cleaning as C
-from tidemark.functions.amounts import parse_amount
+from tidemark.functions.amounts import with_amount
 from tidemark.operators.tables import latest, look_up, split
 
 
 def typed_transactions(raw: DataFrame) -> DataFrame:
     """Raw text columns named, typed and flagged; every raw row gives one row."""
-    parsed = raw.withColumn("__a", parse_amount(F.col("amount")))
+    parsed = with_amount(raw, "amount", "__a")
     online = C.is_online(F.col("merchant_state"), F.col("merchant_city"))
     at = F.try_to_timestamp("date", F.lit("yyyy-MM-dd HH:mm:ss"))
     return parsed.select(
@@ -34,7 +34,7 @@ def typed_transactions(raw: DataFrame) -> DataFrame:
         F.when(online, "ONLINE").otherwise(C.normal_zip(F.col("zip"))).alias("zip"),
         F.col("mcc").try_cast("int").alias("mcc"),
         *[x.alias(n) for n, x in C.error_flags(F.col("errors")).items()],
-        *[c for c in raw.columns if c in ("again", "_loaded_at")],
+        *[c for c in raw.columns if c in ("again", "_loaded_at", "_batch_id")],
     )
 
 
@@ -55,6 +55,7 @@ def enrich(clean: DataFrame, categories: DataFrame, cards: DataFrame, labels: Da
 
 def clean_users(raw: DataFrame) -> DataFrame:
     money = {c: C.plain_money(F.col(c)) for c in ("per_capita_income", "yearly_income", "total_debt") if c in raw.columns}
+    money |= {c: F.col(c).try_cast(t) for c, t in (("latitude", "double"), ("longitude", "double"), ("birth_year", "int"), ("birth_month", "int"), ("retirement_age", "int"), ("num_credit_cards", "int")) if c in raw.columns}
     score, age = F.col("credit_score").try_cast("int"), F.col("current_age").try_cast("int")
     out = raw.withColumnRenamed("id", "user_id").withColumns(money | {"credit_score": score, "current_age": age})
     named = {"credit_band": C.credit_band(F.col("credit_score")), "credit_invalid": F.coalesce((F.col("credit_score") < 300) | (F.col("credit_score") > 850), F.lit(False)), "age_group": C.age_group(F.col("current_age"))}
@@ -74,3 +75,27 @@ def clean_cards(raw: DataFrame, day: Column) -> DataFrame:
             "credit_limit": C.plain_money(F.col("credit_limit")),
         }
     ).drop("cvv").filter("card_id is not null")
+
+
+def clean_categories(raw: DataFrame) -> DataFrame:
+    """(mcc, mcc_description), each code once (the first description in text order); rows without a number for a code go."""
+    codes = raw.select(F.col("mcc_code").try_cast("int").alias("mcc"), F.col("description").alias("mcc_description"))
+    return codes.filter("mcc is not null").groupBy("mcc").agg(F.min("mcc_description").alias("mcc_description"))
+
+
+def with_day(df: DataFrame, column: str = "event_date") -> DataFrame:
+    """df with the partition columns of a date: year, month, day."""
+    return df.withColumns({"year": F.year(column), "month": F.month(column), "day": F.dayofmonth(column)})
+
+
+def index_of(clean: DataFrame, at: Column, batch: str) -> DataFrame:
+    """The narrow row of each clean transaction that audits look up: whose, when, how much, what label."""
+    label = F.col("is_fraud") if "is_fraud" in clean.columns else F.lit(None)
+    named = clean.select("transaction_id", "user_id", "event_date", "transaction_date", F.col("amount").cast("double").alias("amount"), label.cast("boolean").alias("is_fraud"), at.alias("_indexed_at"), F.lit(batch).alias("_batch_id"))
+    return with_day(named)
+
+
+def quarantine_rows(bad: DataFrame, at: Column) -> DataFrame:
+    """Rows for the quarantine, with empty columns for whoever resolves them."""
+    nothing = lambda kind: F.lit(None).cast(kind)
+    return with_day(bad.withColumns({"_quarantined_at": at, "resolved_at": nothing("timestamp"), "resolved_by": nothing("string"), "resolution": nothing("string")}))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,9 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def optional(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """The Parquet at path, or no rows of that schema where there is none."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def day_column() -> Column:
@@ -48,8 +52,8 @@ def jdbc(spark: SparkSession, url: str, name: str, properties: dict[str, str], c
 
 
 def csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """All columns as text; an empty field is null."""
-    return spark.read.csv(path, schema=", ".join(f"`{c}` string" for c in columns), header=True, nullValue="", mode="PERMISSIVE")
+    """All columns as text; an empty field is null, quotes inside quotes are doubled."""
+    return spark.read.csv(path, schema=", ".join(f"`{c}` string" for c in columns), header=True, nullValue="", escape='"', mode="PERMISSIVE")
 
 
 def json_pairs(df: DataFrame, column: str) -> DataFrame:

@@ -21,13 +21,17 @@ def apply_late_labels(stream: DataFrame, history_path: str, index_path: str, led
     a batch that is repeated after a failure finds its changes there already. history_path and ledger_path must hold their (maybe empty) tables.
     Labels of transactions that the index doesn't know wait beside the history, in history_path + "-unindexed", and come again with each later batch."""
 
-    waiting_path = f"{history_path.rstrip('/')}-unindexed"
+    waiting_path, batch_path = f"{history_path.rstrip('/')}-unindexed", f"{history_path.rstrip('/')}-batch"
 
-    def one(batch: DataFrame, _: int) -> None:
+    def one(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        known, index = spark.read.parquet(history_path), spark.read.parquet(index_path)
-        waiting = optional(spark, waiting_path, batch.schema).join(known, ["transaction_id", "knowledge_date", "_recorded_at"], "left_anti").select(batch.columns)
-        every = batch.unionByName(waiting).localCheckpoint()
+        index = spark.read.parquet(index_path)
+        waiting = optional(spark, waiting_path, batch.schema)
+        waiting = waiting.join(spark.read.parquet(history_path), ["transaction_id", "knowledge_date", "_recorded_at"], "left_anti").select(batch.columns)
+        # Stored once: the tables that it is made of are written below. A repeated batch has the same number and replaces it.
+        batch.unionByName(waiting).write.mode("overwrite").parquet(f"{batch_path}/{number}")
+        every = spark.read.schema(batch.schema).parquet(f"{batch_path}/{number}")
+        known = spark.read.parquet(history_path).join(every.select("transaction_id").distinct(), "transaction_id", "left_semi")
         now = latest(every, ["transaction_id"], [F.desc("knowledge_date"), F.desc("_recorded_at"), F.desc_nulls_last("is_fraud")])
         day = F.lit(every.agg(F.max("knowledge_date")).first()[0]).cast("date")
         changes = label_changes(now, known, index, day)

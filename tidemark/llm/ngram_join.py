@@ -21,7 +21,7 @@ BANDS = HASHES // ROWS
 #: MinHash values compared before each look at the posterior, and the probability below which a pair is dropped.
 STEP, TOLERANCE = 16, 1e-6
 #: Texts and bytes of text of a block, about; a group has the texts of two blocks at most.
-BLOCK, BLOCK_BYTES = 1024, 4 << 20
+BLOCK, BLOCK_BYTES = 512, 4 << 20
 #: Pairs compared at once.
 PAIRS = 1 << 16
 _GROUP = ["band_no", "band", "low", "high"]

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
+from tests.llm import brute
 from tidemark.llm import components, exact_dedup, license_scan, line_templates, mixing, ngram_join, quality, sharding, shingles, toxicity
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -257,14 +257,127 @@ def test_sharding(spark, docs):
     assert moved < 0.1 * len(table)
 
 
-def test_pipeline(spark):
-    sf_dir = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    columns, n = docs.columns, docs.count()
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, sf_dir)
-        assert docs.columns == columns, name
-        if name != "mixing":
-            assert 0.5 * n < docs.count() <= n, name
-    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
-    assert pieces.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").isEmpty()
+def test_shards_in_turn(spark):
+    """The table against turns that are taken one by one with whole preference lists; placement of odd rows."""
+    for shards, slots in ((("a", "b", "c"), 13), (("x",), 7), (sharding.SHARDS[:5], 101)):
+        number = lambda what, s: int(hashlib.md5(f"{what}/{s}".encode()).hexdigest()[:15], 16)
+        wish = {s: [(number("offset", s) + k * (number("skip", s) % (slots - 1) + 1)) % slots for k in range(slots)] for s in shards}
+        table, turn = {}, 0
+        while len(table) < slots:
+            s = shards[turn % len(shards)]
+            table[next(x for x in wish[s] if x not in table)] = turn % len(shards)
+            turn += 1
+        assert sharding.fill(shards, slots) == [table[x] for x in range(slots)]
+    df = spark.createDataFrame([(1, 9, "z"), (1, 8, "y"), (None, 7, "x")], "doc_id long, slot long, shard string")
+    got = sharding.place(df).collect()
+    assert len(got) == 3 and len({r.shard for r in got if r.doc_id == 1}) == 1 and sharding.place(df.limit(0)).collect() == []
+
+
+def test_shards_written(spark, tmp_path):
+    df = spark.range(500).withColumnRenamed("id", "doc_id")
+    sharding.write_shards(df, str(tmp_path / "s"), shards=("a", "b", "c"), slots=13)
+    got = spark.read.parquet(str(tmp_path / "s"))
+    assert got.count() == 500 and {r.shard for r in got.select("shard").distinct().collect()} == {0, 1, 2}
+
+
+def test_exact_rows(spark, docs, monkeypatch):
+    """Which row stays, ties, both ways of joining, digests only where they were needed, no rows."""
+    rows = [(5, "a b"), (3, "a  b"), (9, "ab "), (2, "ab "), (None, "a   b"), (7, None), (8, " "), (4, "other"), (6, "ohter"), (6, "x" * 300 + "1"), (1, "x" * 300 + "2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+    group = lambda t: [(i, x) for i, x in rows if norm(x) == norm(t)]
+    best = lambda t: min(group(t), key=lambda r: (-len(r[1] or ""), r[0] is None, r[0] or 0))[0]
+    for how in ({}, {"broadcast_bytes": 0}):
+        got = exact_dedup.exact_dedup(df, hash_all=True, **how).collect()
+        assert Counter((r.doc_id, r.keep_id, r.group_size) for r in got) == Counter((i, best(t), len(group(t))) for i, t in rows)
+        assert sum(r.kept for r in got) == len({norm(t) for _, t in rows}) and all(r.kept == (r.doc_id == r.keep_id) for r in got)
+        some = {(r.doc_id, r.text_sha256 is None) for r in exact_dedup.exact_dedup(df, **how).collect()}
+        assert some == {(5, False), (3, False), (9, False), (2, False), (None, False), (7, False), (8, False), (4, True), (6, True), (6, False), (1, False)}
+    assert exact_dedup.exact_dedup(df.limit(0)).collect() == []
+    same = spark.createDataFrame([(1, "same")] * 4, "doc_id long, text string")
+    assert sorted(r.kept for r in exact_dedup.exact_dedup(same).collect()) == [False, False, False, True]
+
+
+def test_shuffled_sides(spark, docs, monkeypatch):
+    """What is broadcast on small tables gives the same rows when it is shuffled."""
+    from tidemark.llm import common
+
+    runs = [lambda: ngram_join.near_groups(docs), lambda: line_templates.line_report(docs), lambda: mixing.mix(docs), lambda: mixing.take(docs), lambda: quality.quality(docs)]
+    before = [sorted(map(str, run().collect())) for run in runs]
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(line_templates, "NARROW_BYTES", -1)
+    for run, want in zip(runs, before, strict=True):
+        assert sorted(map(str, run().collect())) == want
+
+
+def test_targets(spark):
+    """Targets against levels raised until all is shared out, with capped sources and a null one."""
+    rnd = random.Random(4)
+    for n in (1, 2, 7, 20):
+        sizes = {(f"s{i:02d}" if i else None): rnd.randrange(1, 10 ** rnd.randrange(1, 6)) for i in range(n)}
+        got = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).collect()
+        want = brute.capped_targets(sizes)
+        assert all(abs(r.target - want[r.source]) < 1e-6 * max(1, want[r.source]) for r in got) and abs(sum(r.target for r in got) - sum(sizes.values())) < 1e-6 * sum(sizes.values())
+
+
+def test_clashing_columns(spark):
+    """Columns named as an operator might name its own come through."""
+    rows = [(i, f"a b c {i}", "s", "en", i, -i, "m") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, key long, __key long, copies string")
+    for f in (mixing.take, line_templates.drop_recurring_lines, ngram_join.drop_near_copies):
+        got = f(df)
+        assert got.columns == df.columns and {(r.key, r["__key"], r.copies) for r in got.collect()} <= {(i, -i, "m") for i in range(6)}
+
+
+def test_lines_by_brute_force(spark):
+    """Templates of several kinds among prose, repeated lines in a text, against the tree said again plainly."""
+    rnd = random.Random(6)
+    some = lambda n, k=30: " ".join(f"w{chr(97 + rnd.randrange(k) % 26)}{chr(97 + rnd.randrange(k) // 26)}" for _ in range(n))
+    name = lambda: "".join(rnd.choice("abcde") for _ in range(4))
+    passage = [some(30) for _ in range(4)]
+    kinds = [lambda: f"the user {name()} came in through door {name()} of hall", lambda: f"{name()} has left the old building at last", lambda: f"page {rnd.randrange(50)} of 50", lambda: " ".join(name() if i in (7, 15) else w for i, w in enumerate(rnd.choice(passage).split())), lambda: some(rnd.randrange(3, 25), 400), lambda: some(3, 3)]
+    texts = ["\n".join(rnd.choice(kinds)() for _ in range(rnd.randrange(1, 9))) for _ in range(120)]
+    texts = list(dict.fromkeys([*texts, "", "\n \n", texts[0] + "\n" + texts[0]]))
+    want = {t: set(x) for t, x in brute.recurring_lines(texts).items() if x}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = line_templates.drop_recurring_lines(df, keep_first=False).collect()
+    left = {t: "\n".join(x for i, x in enumerate(text.split("\n")) if i not in want.get(t, ())) for t, text in enumerate(texts)}
+    assert {r.doc_id: r.text for r in got} == left and sum(map(len, want.values())) > 50
+
+
+def test_real_headers(spark):
+    """Wrapped notices, comment marks, titles and whole files; the nearest of several licence files above."""
+    mit = next(t for n, t in license_scan.NOTICES if n == "MIT" and len(t) > 500)
+    wrap = lambda text, n, mark: "\n".join(mark + " ".join(text.split()[i : i + n]) for i in range(0, len(text.split()), n))
+    by = lambda name: max((t for n, t in license_scan.NOTICES if n == name), key=len)
+    prose = "\n".join(["some words of a file that says nothing of its terms"] * 5)
+    rows = [
+        ("a/m.py", wrap(mit.replace("Copyright (c)", "Copyright (c) 2021 Jo Doe"), 9, "# ") + "\nimport os\n" + prose, "MIT"),
+        ("a/g.c", wrap(by("GPL-3.0"), 12, " * ") + "\n" + prose, "GPL-3.0"),
+        ("a/b.c", wrap(by("BSD-3-Clause"), 10, "// "), "BSD-3-Clause"),
+        ("a/p.c", wrap(by("Apache-2.0"), 11, ""), "Apache-2.0"),
+        ("a/i.js", wrap(by("ISC"), 13, "; "), "ISC"),
+        ("a/u.txt", wrap(by("Unlicense"), 10, ""), "Unlicense"),
+        ("k/LICENSE", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + wrap(mit.split("Copyright (c) ")[1], 12, ""), "MIT"),
+        ("k/LICENSE-2", wrap(by("Apache-2.0"), 11, ""), "Apache-2.0"),
+        ("k/x/COPYING", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\nCopyright (C) 1989, 1991 Free Software Foundation, Inc.,\n51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA\nEveryone is permitted to copy and distribute verbatim copies\nof this license document, but changing it is not allowed.", "GPL-2.0"),
+        ("k/x/y/z.py", prose, "GPL-2.0"),
+        ("k/w/z.py", prose, "MIT"),
+        ("q/none.py", prose + "\nthe license of the rights that words have", None),
+    ]
+    rows.append(rows[0])
+    got = license_scan.license_scan(spark.createDataFrame([(i, p, t) for i, (p, t, _) in enumerate(rows)], "doc_id long, p string, text string"), F.col("p")).collect()
+    assert {r.doc_id: r.license for r in got} == {i: want for i, (_, _, want) in enumerate(rows)}
+
+
+def test_toxic_features_and_ratios(spark):
+    """Ratios against counts of n-grams as strings; repeated rows count each."""
+    texts = [("Bad bad words", 1), ("good words", 0), ("good words", 0), ("", 0), ("ä\tö", 1)]
+    grams = lambda t: {f" {t.lower()} "[i : i + n] for n in toxicity.SIZES for i in range(len(t) + 3 - n) if not re.search(r"[\x20\x09-\x0D]", f" {t.lower()} "[i + 1 : i + n - 1])}
+    for t, _ in texts:
+        assert len(toxicity.features(t)) == len({re.sub(r"[\x20\x09-\x0D]", " ", g) for g in grams(t)})
+    got = toxicity.log_ratios(spark.createDataFrame([(t, y) for t, y in texts], "text string, toxic int"))
+    p, q = np.ones(toxicity.FEATURES), np.ones(toxicity.FEATURES)
+    for t, y in texts:
+        (p if y else q)[toxicity.features(t)] += 1
+    assert np.allclose(got, np.log((p / p.sum()) / (q / q.sum())), atol=1e-5)

@@ -212,4 +212,4 @@ def quality(docs: DataFrame, quantile: float = QUANTILE, least_rows: int = LEAST
     judged = measured.join(small_side(chosen), "own", "left").join(small_side(model), "group", "left").withColumns(scaled)
     distance = F.when(~F.col("base_failed"), F.when(F.col("middle") > 0, _distance(names) / F.col("middle") * at(0.5)).otherwise(0.0))
     judged = judged.withColumn("distance", distance).withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= at(quantile)))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.coalesce("kept", F.lit(False)).alias("kept"), "distance", F.when(~F.col("base_failed"), F.col("level")).alias("level"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.coalesce("kept", F.lit(False)).alias("kept"), F.round("distance", 6).alias("distance"), F.when(~F.col("base_failed"), F.col("level")).alias("level"))

@@ -74,25 +74,27 @@ class Encoder:
         """The ids as little-endian unsigned 32-bit integers."""
         if not self.split:
             return self._whole(text or "")
-        parts, known = _STRETCHES.findall(text or ""), self.known
-        found = list(map(known.get, parts))
-        try:
-            return b"".join(found)
-        except TypeError:  # some are new
-            new = list({x for x, y in zip(parts, found, strict=True) if y is None})
-        if len(known) + len(new) > KEPT:
-            # The first ones came early because they are frequent; the later half makes room.
-            for x in list(known)[KEPT // 2 :]:
-                del known[x]
-        fresh, others = {}, []
+        parts = _STRETCHES.findall(text or "")
+        known = self.known
+        new = list(set(parts).difference(known))
+        if new:
+            if len(known) + len(new) > KEPT:
+                # The first ones came early because they are frequent; the later half makes room.
+                for x in list(known)[KEPT // 2 :]:
+                    del known[x]
+                new = list(set(parts).difference(known))
+            others = []
+            for x in new:
+                if self.plain and (found := _PLAIN.fullmatch(x)):
+                    known[x] = self._plain(found)
+                else:
+                    others.append(x)
+            known.update(zip(others, (np.array(e.ids, "<u4").tobytes() for e in self.batch(others, add_special_tokens=False)), strict=True))
+        out = b"".join(map(known.__getitem__, parts))
         for x in new:
-            if self.plain and (match := _PLAIN.fullmatch(x)):
-                fresh[x] = self._plain(match)
-            else:
-                others.append(x)
-        fresh.update(zip(others, (np.array(e.ids, "<u4").tobytes() for e in self.batch(others, add_special_tokens=False)), strict=True))
-        known.update((x, y) for x, y in fresh.items() if len(x) <= LONGEST)
-        return b"".join([fresh[x] if y is None else y for x, y in zip(parts, found, strict=True)])
+            if len(x) > LONGEST:
+                del known[x]
+        return out
 
 
 @lru_cache(maxsize=2)

@@ -15,16 +15,20 @@ import numpy as np
 
 #: Unicode's White_Space.
 _WHITE = "\t-\r \x85\xa0  -     　"
-_STRETCHES = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
-#: Most stretches are a word of Latin letters, perhaps after a space or before signs. They make one pre-token, or two with the signs.
+#: Most stretches are a word of Latin letters, perhaps after a space or a line's end and before signs. Word (with its space), signs
+#: and line's end are pre-tokens of their own, and taken apart here, so that few different ones come.
 _LETTERS, _SIGNS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", r"!\"#$%&()*+,\-./:;=?@\[\]^_`{}~"
-_PLAIN = re.compile(f"( ?)([{_LETTERS}]+)([{_SIGNS}]*)")
-#: The plain way is taken only with a file that agrees with it on these.
-_TRIED = ["a", "A", " a", " \xc9t\xe9", "\xd6l", "The", " the", "the.", " The,", " Stra\xdfe!?", " \xfeing;", "na\xefve:", "ANTIdisestablishment...", " \xe0\xc8\xfe\xff"]
+_WORD, _END = f" ?[{_LETTERS}]+", f"(?:[{_WHITE}]|\\Z)"
+_WHOLE = f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+"
+_STRETCHES = re.compile(_WHOLE)
+_PARTS = re.compile(f"{_WORD}(?=[{_SIGNS}]*{_END})|[{_SIGNS}]+(?={_END})|\n(?={_WORD})|{_WHOLE}")
+_PLAIN = re.compile(_WORD)
+#: Words are taken apart and given to the model alone only with a file that agrees with it on these.
+_TRIED = ["a", "A", " a", " \xc9t\xe9", "\xd6l", "The", " the", "the.", " The,", " Stra\xdfe!?", " \xfeing;", "na\xefve:", "ANTIdisestablishment...", " \xe0\xc8\xfe\xff", "a\nThe", "a.\n the.", "\n\xc9t\xe9,", "...", "a \"b\" -- (c)."]
 #: Texts are split only with a file that agrees with it on these and has no added token with a space in it or that takes spaces beside it.
 _TRIED_TEXTS = ["  a  b\n\n c ", "don't 've\t\r\n x  ", "1 234,567\u00a0kg (a) [b]\n\n\n- \"q\" ...", "\u00c9t\u00e9 \u4e2d\u6587\u3000x\u2028y \U0001f600 z"]
-#: Stretches kept by a worker (about 80 MB), the longest kept, and signs kept.
-KEPT, LONGEST, MOST_SIGNS = 400_000, 64, 1000
+#: Parts kept by a worker (about 80 MB), and the longest kept.
+KEPT, LONGEST = 400_000, 64
 
 
 class Encoder:
@@ -33,13 +37,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.known: dict[str, bytes] = {}
         self.model, self.as_bytes = self.tokenizer.model, self._letters()
-        self.space, self.signs = self.as_bytes[ord(" ")], {}
-        self.split = True
         self.lower = self._whole("A") == self._whole("a")
-        self.plain = all(self.as_bytes[i] == chr(i) for i in self.as_bytes if 32 < i < 128) and all(self._plain(_PLAIN.fullmatch(x)) == self._whole(x) for x in _TRIED)
+        self.split = self.plain = True
+        self.parts = _PARTS
+        if not (all(self.as_bytes[i] == chr(i) for i in self.as_bytes if 32 < i < 128) and all(self.ids(x) == self._whole(x) for x in _TRIED)):
+            self.plain, self.parts = False, _STRETCHES
+        self.known.clear()
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.split = not any(t.lstrip or t.rstrip or re.search(f"[{_WHITE}]", t.content) for t in added) and all(self.ids(t) == self._whole(t) for t in _TRIED_TEXTS)
 
@@ -47,54 +52,46 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _letters(self) -> dict[int, str]:
-        """How the file's own pre-tokenizer writes letters, signs and a space before a letter; nothing for a space that it drops."""
+        """How the file's own pre-tokenizer writes letters and a space before a letter; nothing for a space that it drops."""
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        chars = [c for c in map(chr, range(256)) if re.match(f"[{_LETTERS}{_SIGNS}]", c)]
+        chars = [c for c in map(chr, range(256)) if re.match(f"[{_LETTERS}]", c)]
         return {ord(" "): split(" a")[0][0][:-1]} | {ord(c): split(c)[0][0] for c in chars}
 
-    def _by_model(self, pre_token: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(pre_token)]
+    def _part(self, part: str) -> bytes:
+        if (out := self.known.get(part)) is None:
+            if self.plain and _PLAIN.fullmatch(part):
+                out = self._word(part)
+            else:
+                out = self._whole(part)
+            self._keep(part, out)
+        return out
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word by the model alone, as neither normaliser nor pre-tokenizer has more to do with it than this."""
+        lower = word.lower() if self.lower else word
+        if lower != word:
+            return self._part(lower)
+        ids = [t.id for t in self.model.tokenize(word.translate(self.as_bytes))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _plain(self, found: re.Match) -> bytes:
-        """The ids of a stretch by the model alone, as neither normaliser nor pre-tokenizer has more to do with it than this."""
-        space, word, signs = found.groups()
-        if self.lower:
-            word = word.lower()
-        if not word.isascii():
-            word = word.translate(self.as_bytes)
-        out = self._by_model(self.space + word if space else word)
-        if signs and signs not in self.signs:
-            if len(self.signs) >= MOST_SIGNS:
-                self.signs.clear()
-            self.signs[signs] = self._by_model(signs)
-        return out + self.signs[signs] if signs else out
+    def _keep(self, part: str, ids: bytes) -> None:
+        if len(part) > LONGEST:
+            return
+        if len(self.known) >= KEPT:
+            # The first ones came early because they are frequent; the later half makes room.
+            for x in list(self.known)[KEPT // 2 :]:
+                del self.known[x]
+        self.known[part] = ids
 
     def ids(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not self.split:
             return self._whole(text or "")
-        parts = _STRETCHES.findall(text or "")
-        known = self.known
-        new = list(set(parts).difference(known))
-        if new:
-            if len(known) + len(new) > KEPT:
-                # The first ones came early because they are frequent; the later half makes room.
-                for x in list(known)[KEPT // 2 :]:
-                    del known[x]
-                new = list(set(parts).difference(known))
-            others = []
-            for x in new:
-                if self.plain and (found := _PLAIN.fullmatch(x)):
-                    known[x] = self._plain(found)
-                else:
-                    others.append(x)
-            known.update(zip(others, (np.array(e.ids, "<u4").tobytes() for e in self.batch(others, add_special_tokens=False)), strict=True))
-        out = b"".join(map(known.__getitem__, parts))
-        for x in new:
-            if len(x) > LONGEST:
-                del known[x]
-        return out
+        parts = self.parts.findall(text or "")
+        out = list(map(self.known.get, parts))
+        if None in out:
+            out = [self._part(x) if ids is None else ids for x, ids in zip(parts, out, strict=True)]
+        return b"".join(out)
 
 
 @lru_cache(maxsize=2)

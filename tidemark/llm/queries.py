@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, license_scan, line_templates, mixing, ngram_join, packing, pair_ranking, prefix_trie, quality, sharding, token_orc, toxicity
+from tidemark.llm import exact_dedup, hard_negatives, license_scan, line_templates, mixing, ngram_join, packing, pair_ranking, prefix_trie, quality, sharding, token_orc, toxicity
 from tidemark.llm.common import table
 
 
@@ -62,6 +62,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_ngram_join, op3_quality, op4_toxicity, op5_license_scan, op6_token_orc, op7_exact_dedup, op8_packing, op9_mixing, op10_sharding, op11_pair_ranking, op12_prefix_trie)}
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
-ORACLES = {"op5_license_scan": license_scan.oracle(), "op7_exact_dedup": exact_dedup.ORACLE, "op10_sharding": sharding.oracle(), "op12_prefix_trie": prefix_trie.ORACLE}
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_ngram_join, op3_quality, op4_toxicity, op5_license_scan, op6_token_orc, op7_exact_dedup, op8_packing, op9_mixing, op10_sharding, op11_pair_ranking, op12_prefix_trie, op13_hard_negatives)}
+
+ORACLES = {"op5_license_scan": license_scan.oracle(), "op7_exact_dedup": exact_dedup.ORACLE, "op10_sharding": sharding.oracle(), "op12_prefix_trie": prefix_trie.ORACLE, "op13_hard_negatives": hard_negatives.ORACLE}

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark import jobs
 from tidemark.operators import tables
-from tidemark.sources import readers, writers
+from tidemark.sources import lake as lakes
+from tidemark.sources import readers
+from tidemark.sources.lake import Lake
 
 RAW = "id string, date string, client_id string, card_id string, amount string, use_chip string, merchant_id string, merchant_city string, merchant_state string, zip string, mcc string, errors string, _loaded_at timestamp"
 
@@ -22,10 +24,10 @@ def ingest(spark, lake, rows):
 
 def test_better_second_run(spark, tmp_path):
     """A day that becomes valid leaves no stale quarantine, a day that loses its rows no stale staging; other days stay. Rows without a date are kept."""
-    lake = jobs.Lake(str(tmp_path))
+    lake = Lake(str(tmp_path))
     ingest(spark, lake, [row("a", "2024-01-01", "N/A"), row("b", "2024-01-02", "$1.00"), row("b", "2024-01-02", "$2.00", loaded=5), row("c", None, "$3.00")])
     jobs.clean(spark, lake, date(2024, 1, 3))
-    read = lambda zone: {(r.transaction_id, r.day): r.amount for r in spark.read.parquet(lake.path(zone, "transactions")).collect()}
+    read = lambda zone: {(r.transaction_id, r.day): r.amount for r in lake.read(spark, zone, "transactions").collect()}
     assert {k: float(v) for k, v in read("staging").items()} == {("b", 2): 2.0} and set(read("quarantine")) == {("a", 1), ("c", None)}
     ingest(spark, lake, [row("a", "2024-01-01", "$5.00"), row("b", "2024-01-02", "x")])
     jobs.clean(spark, lake, date(2024, 1, 3), date(2024, 1, 1), date(2024, 1, 2))
@@ -34,7 +36,7 @@ def test_better_second_run(spark, tmp_path):
 
 
 def test_raw_checks(spark, tmp_path):
-    lake = jobs.Lake(str(tmp_path))
+    lake = Lake(str(tmp_path))
     ingest(spark, lake, [row("a", "2024-01-01", "$1"), row(None, "2024-01-02", "$1")])
     jobs.ingest(spark, lake, "mcc_codes", spark.sql("select '1' as mcc_code, 'x' as description"), date(2024, 1, 1), "b")
     jobs.raw_checks(spark, lake, date(2024, 1, 1))
@@ -44,14 +46,175 @@ def test_raw_checks(spark, tmp_path):
 
 
 def test_nothing_to_restate(spark, tmp_path):
-    assert jobs.restate(spark, jobs.Lake(str(tmp_path)), date(2024, 1, 1), "b") == {"changes": 0, "days": 0}
-
-
-def test_swap_reads_what_it_replaces(spark, tmp_path):
-    path = str(tmp_path / "t")
-    writers.swap(spark.range(3), path)
-    writers.swap(spark.read.parquet(path).withColumn("id", F.col("id") + 10), path, files=1)
-    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [10, 11, 12] and [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert jobs.restate(spark, Lake(str(tmp_path)), date(2024, 1, 1), "b") == {"changes": 0, "days": 0}
+
+
+def states(spark, lake):
+    """All rows of all published tables."""
+    return {k: sorted(map(str, lake.read(spark, *k.split("/")).collect())) for k in lake.state(spark).tables}
+
+
+def test_a_table_reads_what_it_replaces(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    with lake.change(spark) as change:
+        change.put("z", "t", spark.range(3))
+    with lake.change(spark) as change:
+        change.put("z", "t", change.read("z", "t").withColumn("id", F.col("id") + 10), files=1)
+        assert sorted(r.id for r in lake.read(spark, "z", "t").collect()) == [0, 1, 2]
+        assert sorted(r.id for r in change.read("z", "t").collect()) == [10, 11, 12]
+    assert sorted(r.id for r in lake.read(spark, "z", "t").collect()) == [10, 11, 12]
+    assert lake.expire(spark) == 1 and lake.state(spark).number == 2 and sorted(r.id for r in lake.read(spark, "z", "t").collect()) == [10, 11, 12]
+
+
+def test_columns_of_partitions(spark, tmp_path):
+    """A table keeps all columns that any partition was written with, in whatever order they came; another type is an error."""
+    lake, rows = Lake(str(tmp_path)), lambda text, schema: spark.createDataFrame(text, schema)
+    with lake.change(spark) as change:
+        change.put("z", "t", rows([("a", 2024, 1, 1, True), ("b", 2024, 1, 2, None)], "id string, year int, month int, day int, flag boolean"), readers.DAY)
+    with lake.change(spark) as change:
+        got = change.put("z", "t", rows([(1.5, 2024, 1, 1, "c")], "more double, year int, month int, day int, id string"), readers.DAY)
+        assert got["rows"] == 1
+    out = lake.read(spark, "z", "t")
+    assert out.columns == ["id", "flag", "more", "year", "month", "day"] and sorted(map(tuple, out.collect()), key=str) == [("b", None, None, 2024, 1, 2), ("c", None, 1.5, 2024, 1, 1)]
+    assert [r.id for r in lake.read(spark, "z", "t", date(2024, 1, 2)).collect()] == ["b"] and lake.read(spark, "z", "t", date(2025, 1, 1)).count() == 0
+    with pytest.raises(TypeError, match="flag"), lake.change(spark) as change:
+        change.put("z", "t", rows([("a", 2024, 1, 1, "x")], "id string, year int, month int, day int, flag string"), readers.DAY)
+    with pytest.raises(ValueError, match="partitioned"), lake.change(spark) as change:
+        change.put("z", "t", spark.range(1))
+    with pytest.raises(FileNotFoundError):
+        lake.read(spark, "z", "none")
+    with lake.change(spark) as change:
+        change.put("z", "t", out.filter("false"), readers.DAY, ["year=2024/month=1/day=1"])
+    assert [r.id for r in lake.read(spark, "z", "t").collect()] == ["b"]
+
+
+def test_two_changes_at_once(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    one, two = lake.change(spark), lake.change(spark)
+    one.put("z", "t", spark.range(1))
+    two.put("z", "t", spark.range(2))
+    one.publish()
+    with pytest.raises(OSError):
+        two.publish()
+    assert lake.read(spark, "z", "t").count() == 1
+
+
+class Killed(Exception):
+    pass
+
+
+def killed(monkeypatch, at, job):
+    """Whether job was killed: after its write number `at`, or before the file is moved in that publishes all, if it has so many writes."""
+    seen, write = [0], lakes.Change._write
+
+    def written(self, *a, **k):
+        out = write(self, *a, **k)
+        seen[0] += 1
+        if seen[0] > at:
+            raise Killed
+        return out
+
+    def moved(*_):
+        if seen[0] == at:
+            raise Killed
+        return rename(*_)
+
+    rename = lakes._rename
+    monkeypatch.setattr(lakes.Change, "_write", written)
+    monkeypatch.setattr(lakes, "_rename", moved)
+    try:
+        job()
+        return False
+    except Killed:
+        return True
+    finally:
+        monkeypatch.undo()
+
+
+def late_label_lake(spark, path):
+    """A lake in which labels changed: two days, three transactions, one of them with a new label."""
+    lake = Lake(path)
+    ingest(spark, lake, [row("a", "2024-01-01", "$5.00"), row("b", "2024-01-02", "$1.00"), row("c", "2024-01-02", "$2.00"), row("x", "2024-01-02", "N/A")])
+    deliver(spark, lake, {"a": "No", "b": "No"}, date(2024, 2, 1))
+    jobs.ingest(spark, lake, "mcc_codes", spark.sql("select '5000' as mcc_code, 'x' as description"), date(2024, 1, 1), "b")
+    jobs.ingest(spark, lake, "cards", spark.sql("select 'c' as id, 'u' as client_id, 'Visa' as card_brand, 'Debit' as card_type, '4111' as card_number, '1/2030' as expires, '1' as cvv, 'YES' as has_chip, '$5' as credit_limit, 'No' as card_on_dark_web"), date(2024, 1, 1), "b")
+    jobs.ingest(spark, lake, "users", spark.sql("select 'u' as id, '30' as current_age, '600' as credit_score, '$5' as yearly_income"), date(2024, 1, 1), "b")
+    jobs.clean(spark, lake, date(2024, 1, 3))
+    jobs.clean_dimensions(spark, lake, date(2024, 1, 3))
+    assert jobs.enrich(spark, lake) == {"rows": 3, "with_category": 3, "with_card": 3, "with_label": 2}
+    jobs.build_index(spark, lake, date(2024, 1, 3), "b")
+    return lake
+
+
+def deliver(spark, lake, labels, day):
+    jobs.ingest(spark, lake, "fraud_labels", spark.createDataFrame(list(labels.items()), "transaction_id string, is_fraud string"), day, str(day))
+
+
+def test_killed_jobs_leave_old_or_new_tables(spark, tmp_path, monkeypatch):
+    """Each job is killed after each of its writes and before they are published: all tables stay as they were, nothing is left over once it ran again, and then they are as if it had never failed."""
+    lake = late_label_lake(spark, str(tmp_path))
+    jobs.detect(spark, lake, date(2024, 2, 1), "b1")
+    deliver(spark, lake, {"a": "Yes", "b": "No", "c": "Yes"}, date(2024, 3, 1))
+    steps = [
+        lambda: jobs.clean(spark, lake, date(2024, 1, 3), date(2024, 1, 2)),
+        lambda: jobs.detect(spark, lake, date(2024, 3, 1), "b2"),
+        lambda: jobs.restate(spark, lake, date(2024, 3, 1), "b2"),
+        lambda: jobs.dimensions(spark, lake, date(2024, 3, 1), ["credit_band"]),
+        lambda: jobs.compact_month(spark, lake, "raw", "transactions", 2024, 1),
+    ]
+    for step in steps:
+        before, at = states(spark, lake), 0
+        while killed(monkeypatch, at, step):
+            assert states(spark, lake) == before
+            at += 1
+        assert at >= 2
+        after = states(spark, lake)
+        assert after != before or step is steps[0]
+    lake.expire(spark)
+    there = {f"{k}/{v}" for k, t in lake.state(spark).tables.items() for vs in t.parts.values() for v in vs}
+    assert {f"{k}/{v}" for k, v in lake._folders(spark)} == there
+    assert {r.transaction_id: r.is_fraud for r in lake.read(spark, "staging", "transactions").collect()} == {"a": True, "b": False, "c": True}
+    assert sorted((r.snapshot_type, r.report_date.day, r.fraud_txn_count) for r in lake.read(spark, "audit", "report_snapshots").collect()) == [("AFTER", 1, 1), ("AFTER", 2, 1), ("BEFORE", 1, 0), ("BEFORE", 2, 0)]
+    assert lake.read(spark, "audit", "applied_ledger").count() == 2
+    assert jobs.tiers(spark, lake, "raw", "transactions").count() == 4 and lake.read(spark, "raw", "transactions").count() == 0
+
+
+def test_a_day_cleaned_again_keeps_what_enrich_added(spark, tmp_path):
+    lake = late_label_lake(spark, str(tmp_path))
+    for day in (date(2024, 1, 1), date(2024, 1, 2)):
+        jobs.clean(spark, lake, date(2024, 1, 4), day)
+        jobs.build_index(spark, lake, date(2024, 1, 4), "b")
+        assert {r.transaction_id: r.is_fraud for r in lake.read(spark, "audit", "transaction_index").collect()} == {"a": False, "b": False, "c": None}
+    assert {r.card_brand for r in lake.read(spark, "staging", "transactions").collect()} == {"Visa"}
+
+
+def test_two_restatements_of_one_date(spark, tmp_path):
+    """The second run of a date of knowledge replaces the report of after and keeps that of before."""
+    lake = late_label_lake(spark, str(tmp_path))
+    jobs.detect(spark, lake, date(2024, 2, 1), "b1")
+    for labels, fraud in (({"b": "Yes"}, 1), ({"b": "Yes", "c": "Yes"}, 2)):
+        deliver(spark, lake, labels, date(2024, 3, 1))
+        jobs.detect(spark, lake, date(2024, 3, 1), "b2")
+        jobs.restate(spark, lake, date(2024, 3, 1), "b2")
+        got = {(r.snapshot_type, r.report_date.day): r.fraud_txn_count for r in lake.read(spark, "audit", "report_snapshots").collect()}
+        assert got["BEFORE", 2] == 0 and got["AFTER", 2] == fraud
+
+
+def test_counts_come_from_the_write(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    got = jobs.ingest(spark, lake, "transactions", spark.createDataFrame([row("a", "2024-01-01", "$1"), row(None, "2024-01-01", "$1"), row("a", "2024-01-01", "$2", loaded=3), row("b", None, "x")], RAW), date(2024, 1, 2), "b", jobs.transaction_days)
+    assert got == {"table": "transactions", "batch": "b", "rows": 4, "null_keys": 1}
+    assert jobs.clean(spark, lake, date(2024, 1, 3)) == {"rows": 3, "accepted": 1, "rejected": 2, "null_keys": 1}
+
+
+def test_append_by_mark(spark, tmp_path):
+    """Three batches, the middle one twice, the last one with one more row of the last moment."""
+    lake, schema = Lake(str(tmp_path)), "id string, at timestamp"
+    at = lambda d: __import__("datetime").datetime(2024, 1, d)
+    batches = [[("a", at(1)), ("b", at(2))], [("b", at(2)), ("c", at(2)), ("d", at(3))], [("b", at(2)), ("c", at(2)), ("d", at(3))], [("a", at(1)), ("d", at(3)), ("e", at(3)), ("f", None)]]
+    added = [jobs.append_batch(spark, lake, "warehouse", "t", spark.createDataFrame(b, schema), "at", "id")["rows"] for b in batches]
+    assert added == [2, 2, 0, 1] and sorted(r.id for r in lake.read(spark, "warehouse", "t").collect()) == ["a", "b", "c", "d", "e"]
+    assert jobs.append_batch(spark, Lake(str(tmp_path / "x")), "w", "t", spark.createDataFrame([], schema), "at", "id") == {"rows": 0, "mark": None}
 
 
 def test_latest_is_total(spark):

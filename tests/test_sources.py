@@ -6,6 +6,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from tidemark.sources import readers, writers
+from tidemark.sources.lake import Lake
 from tidemark.streaming import labels
 
 LABELS = "transaction_id string, is_fraud boolean, knowledge_date date, _recorded_at timestamp"
@@ -40,8 +41,9 @@ def test_jdbc(spark, tmp_path):
 def test_append_and_retention(spark, tmp_path):
     rows = spark.createDataFrame([(2024, 1, 1, "a"), (2024, 1, 2, "b")], "year int, month int, day int, x string")
     for _ in range(2):
-        writers.append(rows, str(tmp_path / "t"), readers.DAY)
-    assert sorted(r.x for r in spark.read.parquet(str(tmp_path / "t")).collect()) == ["a", "a", "b", "b"]
+        with Lake(str(tmp_path)).change(spark) as change:
+            change.append("z", "t", rows, readers.DAY)
+    assert sorted(r.x for r in Lake(str(tmp_path)).read(spark, "z", "t").collect()) == ["a", "a", "b", "b"]
     bad = spark.createDataFrame([("open", None), ("new", datetime(2024, 2, 20)), ("old", datetime(2024, 1, 1))], "x string, resolved_at timestamp")
     assert sorted(r.x for r in writers.retained(bad, F.lit("2024-03-01").cast("date")).collect()) == ["new", "open"]
 

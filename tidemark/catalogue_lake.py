@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from tidemark import catalogue, jobs
 from tidemark.catalogue import _LABEL, _LATER, _NUMBERS, _VALUE, _query
 from tidemark.sources import readers, writers
+from tidemark.sources.lake import Lake
 from tidemark.sources.readers import table
 
 KNOWN, LATER, TODAY = date(2024, 2, 1), date(2024, 3, 1), date(2024, 3, 2)
 TRACKED = ["credit_band", "age_group", "yearly_income"]
-#: Lakes by application, source and how far their jobs have run; filled once, since the jobs leave the same tables each time.
-_LAKES: dict[tuple, jobs.Lake] = {}
+#: Lakes by application, source, how far their jobs have run and the state of the source; filled once, since the jobs leave the same tables each time.
+_LAKES: dict[tuple, Lake] = {}
 
 
 def raw_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
@@ -41,9 +42,9 @@ def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _base(spark: SparkSession, sf_dir: str) -> jobs.Lake:
+def _base(spark: SparkSession, sf_dir: str) -> Lake:
     """All sources ingested, cleaned and enriched, and the index of what came of it."""
-    lake = jobs.Lake(writers.work_folder(spark))
+    lake = Lake(writers.work_folder(spark))
     rows = readers.raw_transactions(spark, sf_dir).withColumn("_loaded_at", F.expr("timestamp'2024-02-01 00:00:00' + make_interval(0, 0, 0, again)"))
     codes = spark.range(6).selectExpr("cast(5000 + id as string) as mcc_code", "concat('Category ', id) as description")
     sources = {"transactions": rows, "fraud_labels": raw_labels(spark, sf_dir, _LABEL), "users": raw_users(spark, sf_dir), "cards": raw_cards(spark, sf_dir), "mcc_codes": codes}
@@ -55,7 +56,7 @@ def _base(spark: SparkSession, sf_dir: str) -> jobs.Lake:
     return lake
 
 
-def _story(spark: SparkSession, sf_dir: str) -> jobs.Lake:
+def _story(spark: SparkSession, sf_dir: str) -> Lake:
     """A lake in which labels became known later: baseline, delivery, detection, restatement; the last two run twice, as after a failure."""
     lake = _base(spark, sf_dir)
     jobs.detect(spark, lake, KNOWN, "b1")
@@ -66,15 +67,22 @@ def _story(spark: SparkSession, sf_dir: str) -> jobs.Lake:
     return lake
 
 
-def lake_of(spark: SparkSession, sf_dir: str, fill=_base) -> jobs.Lake:
-    at = spark.sparkContext.applicationId, sf_dir, fill.__name__
+def _age(spark: SparkSession, sf_dir: str) -> tuple:
+    """Sizes and times of the files that lakes are filled from, so that a changed table fills a new lake."""
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet") for name in ("events", "customer")]
+    found = [p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p) for p in paths]
+    return tuple((s.getPath().toString(), s.getLen(), s.getModificationTime()) for statuses in found for s in statuses)
+
+
+def lake_of(spark: SparkSession, sf_dir: str, fill=_base) -> Lake:
+    at = spark.sparkContext.applicationId, sf_dir, fill.__name__, _age(spark, sf_dir)
     if at not in _LAKES:
         _LAKES[at] = fill(spark, sf_dir)
     return _LAKES[at]
 
 
 def _read(spark: SparkSession, sf_dir: str, zone: str, name: str, fill=_base) -> DataFrame:
-    return spark.read.parquet(lake_of(spark, sf_dir, fill).path(zone, name))
+    return lake_of(spark, sf_dir, fill).read(spark, zone, name)
 
 
 _GOOD = f"""{_NUMBERS}, good AS (SELECT event_id, CAST(event_id AS VARCHAR) AS transaction_id, CAST(user_id AS VARCHAR) AS user_id, user_id * 10 + event_id % 3 AS card, ts, CAST(ts AS DATE) AS event_date, CAST({_VALUE} AS DOUBLE) AS amount,
@@ -91,12 +99,13 @@ def lake_transactions(spark, sf_dir):
 @_query("SELECT CAST(event_id AS VARCHAR) AS transaction_id, CASE event_id % 8 WHEN 5 THEN 'INVALID' ELSE 'AMBIGUOUS' END AS amount_format, CAST(day(ts) AS INTEGER) AS day FROM events WHERE event_id % 8 IN (5, 6) AND event_id % 3 <> 0")
 def lake_quarantine(spark, sf_dir):
     """After retention: what was resolved long ago has gone."""
-    lake = jobs.Lake(writers.work_folder(spark))
+    lake = Lake(writers.work_folder(spark))
     number = F.col("transaction_id").cast("long") % 3
     resolved = F.when(number == 0, F.lit(date(2024, 1, 1))).when(number == 1, F.lit(date(2024, 2, 25))).cast("timestamp")
-    writers.append(_read(spark, sf_dir, "quarantine", "transactions").withColumn("resolved_at", resolved), lake.path("quarantine", "transactions"), readers.DAY)
+    with lake.change(spark) as change:
+        change.put("quarantine", "transactions", _read(spark, sf_dir, "quarantine", "transactions").withColumn("resolved_at", resolved), readers.DAY)
     jobs.vacuum_quarantine(spark, lake, TODAY)
-    return spark.read.parquet(lake.path("quarantine", "transactions")).select("transaction_id", "amount_format", "day")
+    return lake.read(spark, "quarantine", "transactions").select("transaction_id", "amount_format", "day")
 
 
 @_query(f"WITH {_GOOD} SELECT transaction_id, user_id, event_date, amount, is_fraud, {_DAY} FROM good", "event_date")
@@ -112,7 +121,7 @@ def lake_features_of_a_day(spark, sf_dir):
     lake = lake_of(spark, sf_dir)
     jobs.build_features(spark, lake, date(2024, 1, 15))
     rounded = [F.round(c, 6).alias(c) for c in ("amount_sum_last_24h", "amount_vs_user_avg_ratio")]
-    return readers.days(spark, lake.path("warehouse", "fraud_features"), date(2024, 1, 15), date(2024, 1, 15)).select("transaction_id", "txn_count_last_7d", *rounded, "risk_score")
+    return lake.read(spark, "warehouse", "fraud_features", date(2024, 1, 15)).select("transaction_id", "txn_count_last_7d", *rounded, "risk_score")
 
 
 @_query(catalogue.ORACLES["reconciliation"].split(" FROM (", 1)[1].removesuffix(")"), "event_date")
@@ -123,7 +132,7 @@ def lake_reconciliation(spark, sf_dir):
 @_query("SELECT CAST(event_id AS VARCHAR) AS transaction_id FROM events WHERE event_id % 8 NOT IN (5, 6) AND CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'")
 def lake_days(spark, sf_dir):
     """Days of a partitioned table; other folders aren't read."""
-    return readers.days(spark, lake_of(spark, sf_dir).path("staging", "transactions"), date(2024, 1, 10), date(2024, 1, 12)).select("transaction_id")
+    return lake_of(spark, sf_dir).read(spark, "staging", "transactions", date(2024, 1, 10), date(2024, 1, 12)).select("transaction_id")
 
 
 @_query("""SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_custkey * 10.0 AS yearly_income, CAST(250 + c_custkey % 650 AS INTEGER) AS credit_score, 250 + c_custkey % 650 < 300 OR 250 + c_custkey % 650 > 850 AS credit_invalid, CAST(NULL AS INTEGER) AS birth_year,
@@ -144,7 +153,7 @@ def lake_cards(spark, sf_dir):
  UNION ALL SELECT user_id, yearly_income + 1, DATE '2024-03-01', DATE '9999-12-31', true FROM s WHERE moved""", "valid_from", "valid_to")
 def lake_user_versions(spark, sf_dir):
     """Users as versions after two deliveries, the second one run twice."""
-    lake, raw = jobs.Lake(writers.work_folder(spark)), raw_users(spark, sf_dir)
+    lake, raw = Lake(writers.work_folder(spark)), raw_users(spark, sf_dir)
     raised = raw.withColumn("yearly_income", F.when(F.col("id").cast("long") % 5 == 0, F.concat(F.lit("$"), F.col("id").cast("long") * 10 + 1)).otherwise(F.col("yearly_income")))
     for name, rows in (("cards", raw_cards(spark, sf_dir)), ("mcc_codes", spark.sql("select '1' as mcc_code, 'x' as description"))):
         jobs.ingest(spark, lake, name, rows, KNOWN, "b1")
@@ -152,7 +161,7 @@ def lake_user_versions(spark, sf_dir):
         jobs.ingest(spark, lake, "users", rows, day, str(day))
         jobs.clean_dimensions(spark, lake, day)
         jobs.dimensions(spark, lake, day, TRACKED)
-    return spark.read.parquet(lake.path("warehouse", "dim_users")).select("user_id", "yearly_income", "valid_from", "valid_to", "is_current")
+    return lake.read(spark, "warehouse", "dim_users").select("user_id", "yearly_income", "valid_from", "valid_to", "is_current")
 
 
 _CHANGED = f"""{_GOOD}, ch AS (SELECT *, CASE WHEN is_fraud IS NULL THEN 'NEW_LABEL' WHEN later IS NULL THEN 'LABEL_CLEARED' ELSE 'LABEL_CHANGED' END AS change_type FROM good WHERE is_fraud IS DISTINCT FROM later)"""
@@ -198,11 +207,12 @@ def lake_ledger(spark, sf_dir):
 @_query("SELECT CAST(event_id AS VARCHAR) AS id, CAST(day(ts) AS INTEGER) AS day, 'warm' AS tier FROM events WHERE ts < TIMESTAMP '2024-02-01' UNION ALL SELECT CAST(event_id AS VARCHAR), 7, 'hot' FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-07'")
 def lake_compacted(spark, sf_dir):
     """A day compacted in place and a month in the warm tier, each id once."""
-    lake = jobs.Lake(writers.work_folder(spark))
-    writers.append(_read(spark, sf_dir, "raw", "transactions"), lake.path("raw", "transactions"), readers.DAY)
+    lake = Lake(writers.work_folder(spark))
+    with lake.change(spark) as change:
+        change.append("raw", "transactions", _read(spark, sf_dir, "raw", "transactions"), readers.DAY)
     jobs.compact_day(spark, lake, "raw", "transactions", date(2024, 1, 7), "id", "client_id")
-    warm = spark.read.parquet(jobs.compact_month(spark, lake, "raw", "transactions", 2024, 1, "id", "client_id"))
-    hot = readers.days(spark, lake.path("raw", "transactions"), date(2024, 1, 7), date(2024, 1, 7))
+    jobs.compact_month(spark, lake, "raw", "transactions", 2024, 1, "id", "client_id", move=False)
+    warm, hot = lake.read(spark, "warm", "transactions"), lake.read(spark, "raw", "transactions", date(2024, 1, 7))
     return warm.select("id", "day", F.lit("warm").alias("tier")).unionByName(hot.select("id", "day", F.lit("hot").alias("tier")))
 
 

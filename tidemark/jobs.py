@@ -1,57 +1,62 @@
-"""Jobs that read tables of a lake and write others: ingest, clean, enrich, dimensions, features, index, late labels, restatement, upkeep.
+"""Jobs that read tables of a lake and change others: ingest, clean, enrich, dimensions, features, index, late labels, restatement, upkeep.
 
-Each takes the session, the lake and the day or the date of knowledge that it runs for; none asks for the time of day. A job that is run again leaves
-the same tables. Days are whole partitions, and only those that a job touches are written.
+Each takes the session, the lake and the day or the date of knowledge that it runs for; none asks for the time of day. What a job writes is published at once, when it
+is complete (`sources.lake`); a job that fails leaves all tables as they were, one that is run again leaves the same tables. Several jobs can share a change
+and are then published together. Days are whole partitions, and only those that a job touches are written.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import yes_or_no
 from tidemark.operators import audit, features, tables
 from tidemark.plans import transactions as T
 from tidemark.sources import readers, writers
-from tidemark.sources.readers import DAY, days, optional
+from tidemark.sources.lake import NULL_PARTITION, Change, Lake
+from tidemark.sources.readers import DAY
 
-HISTORY = "transaction_id string, is_fraud boolean, is_fraud_raw string, knowledge_date date, source_batch_id string, _recorded_at timestamp"
-MANIFEST = "change_id string, transaction_id string, event_date date, knowledge_date date, old_is_fraud boolean, new_is_fraud boolean, change_type string, _detected_at timestamp, _batch_id string, year int, month int, day int"
+HISTORY = "transaction_id string, is_fraud boolean, is_fraud_raw string, source_batch_id string, _recorded_at timestamp, knowledge_date date"
+MANIFEST = "change_id string, transaction_id string, event_date date, old_is_fraud boolean, new_is_fraud boolean, change_type string, _detected_at timestamp, _batch_id string, year int, month int, day int, knowledge_date date"
 LEDGER = "change_id string, transaction_id string, event_date date, knowledge_date date, applied_at timestamp, status string, partitions_touched string, _batch_id string"
 SNAPSHOTS = "report_date date, snapshot_type string, fraud_txn_count bigint, fraud_amount_sum double, total_txn_count bigint, total_amount_sum double, _snapshotted_at timestamp, _batch_id string, knowledge_date date"
 #: Optional columns of features: absent ones come as null.
 FEATURE_COLUMNS = {"card_on_dark_web": "boolean", "is_fraud": "boolean", "mcc_description": "string", "risk_score": "int"}
+#: What enrich adds to staged transactions.
+ENRICHED = ["mcc_description", "card_brand", "card_type", "card_on_dark_web", "is_fraud"]
 
 
-@dataclass(frozen=True)
-class Lake:
-    root: str
-
-    def path(self, zone: str, name: str) -> str:
-        return f"{self.root}/{zone}/{name}"
+def _at(day: date) -> Column:
+    return F.lit(day).cast("timestamp")
 
 
-def _at(day: date):
-    return F.lit(day).cast("timestamp")
+@contextmanager
+def _changing(spark: SparkSession, lake: Lake, change: Change | None) -> Iterator[Change]:
+    """The change that a job is part of, or one of its own."""
+    if change is not None:
+        yield change
+    else:
+        with lake.change(spark) as own:
+            yield own
 
 
-def _range(spark: SparkSession, path: str, first: date | None, last: date | None) -> DataFrame:
-    return spark.read.parquet(path) if first is None else days(spark, path, first, last or first)
+def _names(schema: str) -> list[str]:
+    return [c.strip().split(" ")[0] for c in schema.split(",")]
 
 
-def ingest(spark: SparkSession, lake: Lake, name: str, source: DataFrame, day: date, batch: str, keys: Callable[[DataFrame], DataFrame] | None = None) -> dict:
-    """Raw rows of a source as they are, with where they came from; partitioned by day if keys derives year, month and day. Card verification numbers don't enter."""
+def ingest(spark: SparkSession, lake: Lake, name: str, source: DataFrame, day: date, batch: str, keys: Callable[[DataFrame], DataFrame] | None = None, change: Change | None = None) -> dict:
+    """Raw rows of a source as they are, with where they came from; partitioned by day if keys derives year, month and day. Card verification numbers don't enter.
+    Returns the rows and, if the source has an id, those without one, counted while they were written."""
     rows = readers.with_lineage(source.drop("cvv"), name, batch, _at(day))
-    path = lake.path("raw", name)
-    if keys:
-        writers.overwrite_partitions(keys(rows), path, DAY)
-    else:
-        writers.swap(rows, path)
-    return {"table": name, "batch": batch, "rows": spark.read.parquet(path).filter(F.col("_batch_id") == batch).count()}
+    key = next((c for c in ("id", "transaction_id") if c in rows.columns), None)
+    with _changing(spark, lake, change) as change:
+        got = change.put("raw", name, keys(rows) if keys else rows, DAY if keys else None, count={"null_keys": F.count_if(F.col(key).isNull())} if key else None)
+    return {"table": name, "batch": batch, **got}
 
 
 def transaction_days(rows: DataFrame) -> DataFrame:
@@ -72,23 +77,37 @@ def jdbc_sources(spark: SparkSession, url: str, properties: dict[str, str]) -> d
     return {name: readers.jdbc(spark, url, name, properties, "id" if readers.CONNECTIONS[name] > 1 and name != "fraud_labels" else "transaction_id" if name == "fraud_labels" else None, readers.CONNECTIONS[name]) for name in SOURCES}
 
 
-def clean(spark: SparkSession, lake: Lake, at: date, first: date | None = None, last: date | None = None) -> None:
+def clean(spark: SparkSession, lake: Lake, at: date, first: date | None = None, last: date | None = None, change: Change | None = None) -> dict:
     """Raw transactions of the days first to last, or of all, to staging and quarantine. Of each id the latest row in that scope counts. Days without rows for
-    either table lose what they had there, so that a better second run leaves no stale quarantine."""
-    raw = _range(spark, lake.path("raw", "transactions"), first, last)
-    good, bad = T.clean_transactions(raw.drop(*DAY), [F.desc_nulls_last("_loaded_at")] if "_loaded_at" in raw.columns else [])
-    scope = raw.select(*DAY).distinct()
-    writers.replace_partitions(T.with_day(good), lake.path("staging", "transactions"), DAY, scope)
-    writers.replace_partitions(T.quarantine_rows(bad, _at(at)), lake.path("quarantine", "transactions"), DAY, scope)
-
-
-def clean_dimensions(spark: SparkSession, lake: Lake, day: date) -> None:
+    either table lose what they had there, so that a better second run leaves no stale quarantine. What enrich had added to a transaction stays with its id until enrich runs again.
+
+    Raw rows are read and parsed once; returns how many ids there were, how many of them were accepted and rejected, and rows without an id.
+    """
+    with _changing(spark, lake, change) as change:
+        raw, scope, aside, seen = change.read("raw", "transactions", first, last), change.partitions("raw", "transactions", first, last), writers.work_folder(spark), Observation()
+        order = [F.desc_nulls_last("_loaded_at")] if "_loaded_at" in raw.columns else []
+        rows = tables.latest(T.typed_transactions(raw.drop(*DAY)), ["transaction_id"], order).withColumn("__valid", F.coalesce(T.is_valid(), F.lit(False)))
+        counts = [F.count(F.lit(1)).alias("rows"), F.count_if("__valid").alias("accepted"), F.count_if(~F.col("__valid")).alias("rejected"), F.count_if(F.col("transaction_id").isNull()).alias("null_keys")]
+        rows.observe(seen, *counts).write.parquet(aside)
+        rows = spark.read.schema(rows.schema).parquet(aside)
+        good = T.with_day(rows.filter("__valid").drop("__valid"))
+        if change.has("staging", "transactions", "is_fraud"):
+            known = change.read("staging", "transactions", first, last).select("transaction_id", "event_date", *ENRICHED)
+            good = good.join(tables.latest(known, ["transaction_id"], [F.desc("event_date")]).drop("event_date"), "transaction_id", "left")
+        change.put("staging", "transactions", good, DAY, scope)
+        change.put("quarantine", "transactions", T.quarantine_rows(rows.filter("not __valid").drop("__valid"), _at(at)), DAY, scope)
+        writers.discard(spark, aside)
+    return seen.get
+
+
+def clean_dimensions(spark: SparkSession, lake: Lake, day: date, change: Change | None = None) -> None:
     """Users, cards and categories, each as a whole; of several rows of a key the one ingested last."""
-    last = lambda name: [F.desc_nulls_last(c) for c in ("_loaded_at", "_ingested_at") if c in spark.read.parquet(lake.path("raw", name)).columns]
-    read = lambda name: spark.read.parquet(lake.path("raw", name))
-    writers.swap(tables.latest(T.clean_users(read("users")), ["user_id"], last("users")), lake.path("staging", "users"))
-    writers.swap(tables.latest(T.clean_cards(read("cards"), F.lit(day)), ["card_id"], last("cards")), lake.path("staging", "cards"))
-    writers.swap(T.clean_categories(read("mcc_codes")), lake.path("staging", "mcc_codes"), files=1)
+    with _changing(spark, lake, change) as change:
+        users, cards = change.read("raw", "users"), change.read("raw", "cards")
+        last = lambda rows: [F.desc_nulls_last(c) for c in ("_loaded_at", "_ingested_at") if c in rows.columns]
+        change.put("staging", "users", tables.latest(T.clean_users(users), ["user_id"], last(users)))
+        change.put("staging", "cards", tables.latest(T.clean_cards(cards, F.lit(day)), ["card_id"], last(cards)))
+        change.put("staging", "mcc_codes", T.clean_categories(change.read("raw", "mcc_codes")), files=1)
 
 
 def labels_of(raw: DataFrame) -> DataFrame:
@@ -97,134 +116,187 @@ def labels_of(raw: DataFrame) -> DataFrame:
     return tables.latest(rows.filter("transaction_id is not null"), ["transaction_id"], [F.desc_nulls_last("is_fraud")])
 
 
-def enrich(spark: SparkSession, lake: Lake, first: date | None = None, last: date | None = None) -> None:
-    """Staged transactions with category texts, card facts and labels, written over the days that were read (after all of them were)."""
-    path = lake.path("staging", "transactions")
-    rows = _range(spark, path, first, last).drop("mcc_description", "card_brand", "card_type", "card_on_dark_web", "is_fraud")
-    cards = spark.read.parquet(lake.path("staging", "cards")).select("card_id", "card_brand", "card_type", "card_on_dark_web")
-    labels = labels_of(spark.read.parquet(lake.path("raw", "fraud_labels"))).select("transaction_id", "is_fraud")
-    out = T.enrich(rows, spark.read.parquet(lake.path("staging", "mcc_codes")), cards, labels)
-    aside = writers.work_folder(spark)
-    out.write.parquet(aside)
-    writers.overwrite_partitions(spark.read.parquet(aside), path, DAY)
+def enrich(spark: SparkSession, lake: Lake, first: date | None = None, last: date | None = None, change: Change | None = None) -> dict:
+    """Staged transactions with category texts, card facts and labels, written over the days that were read. Returns the rows, and those that found a
+    category, a card and a label, counted while they were written."""
+    with _changing(spark, lake, change) as change:
+        rows = change.read("staging", "transactions", first, last).drop(*ENRICHED)
+        cards = change.read("staging", "cards").select("card_id", "card_brand", "card_type", "card_on_dark_web")
+        labels = labels_of(change.read("raw", "fraud_labels")).select("transaction_id", "is_fraud")
+        out = T.enrich(rows, change.read("staging", "mcc_codes"), cards, labels)
+        found = {"with_category": F.count_if(F.col("mcc_description") != "UNKNOWN"), "with_card": F.count("card_brand"), "with_label": F.count("is_fraud")}
+        return change.put("staging", "transactions", out, DAY, count=found)
 
 
-def dimensions(spark: SparkSession, lake: Lake, day: date, tracked: list[str]) -> None:
+def dimensions(spark: SparkSession, lake: Lake, day: date, tracked: list[str], change: Change | None = None) -> None:
     """Users as versions, cards as they are now."""
-    users = spark.read.parquet(lake.path("staging", "users"))
-    dim = optional(spark, lake.path("warehouse", "dim_users"), users.select("user_id", *tracked, F.lit(day).alias("valid_from"), F.lit(day).alias("valid_to"), F.lit(True).alias("is_current")).schema)
-    writers.swap(tables.merge_versions(dim, users, "user_id", tracked, F.lit(day)), lake.path("warehouse", "dim_users"))
-    writers.swap(spark.read.parquet(lake.path("staging", "cards")), lake.path("warehouse", "dim_cards"))
+    with _changing(spark, lake, change) as change:
+        users = change.read("staging", "users")
+        dim = change.read("warehouse", "dim_users", default=users.select("user_id", *tracked, F.lit(day).alias("valid_from"), F.lit(day).alias("valid_to"), F.lit(True).alias("is_current")).schema)
+        change.put("warehouse", "dim_users", tables.merge_versions(dim, users, "user_id", tracked, F.lit(day)))
+        change.put("warehouse", "dim_cards", change.read("staging", "cards"))
 
 
-def build_features(spark: SparkSession, lake: Lake, day: date | None = None, history_days: int = 7) -> None:
+def build_features(spark: SparkSession, lake: Lake, day: date | None = None, history_days: int = 7, change: Change | None = None) -> dict:
     """Features of a day, with history_days of look-back for its windows and means, or of all days with all history."""
-    first = day and day - timedelta(days=history_days)
-    rows = _range(spark, lake.path("staging", "transactions"), first, day)
-    more = {c: F.lit(None).cast(t) for c, t in FEATURE_COLUMNS.items() if c not in rows.columns}
-    out = features.point_in_time(rows.withColumns(more | {"amount": F.col("amount").cast("double")}))
-    out = out.filter(F.col("event_date") == F.lit(day)) if day else out
-    names = ["transaction_id", "user_id", "event_date", "amount", *FEATURE_COLUMNS, *(c for c in out.columns if c.startswith(("txn_", "amount_", "is_night", "is_week", "is_foreign")) and c not in ("amount_raw", "amount_format", "amount_currency"))]
-    writers.overwrite_partitions(out.select(*names, *DAY), lake.path("warehouse", "fraud_features"), DAY)
-
-
-def build_index(spark: SparkSession, lake: Lake, at: date, batch: str, first: date | None = None, last: date | None = None) -> None:
-    rows = T.index_of(_range(spark, lake.path("staging", "transactions"), first, last).drop(*DAY), _at(at), batch)
-    writers.overwrite_partitions(rows, lake.path("audit", "transaction_index"), DAY)
-
-
-def detect(spark: SparkSession, lake: Lake, knowledge_date: date, batch: str) -> dict:
-    """What the labels of knowledge_date change: to the manifest, and to the history that later runs compare with. The first run has nothing to compare with:
-    it writes its labels as the baseline and changes nothing. Labels of transactions that the index lacks wait outside history and are found again."""
-    path = lake.path("audit", "label_history")
-    known, now = optional(spark, path, HISTORY), labels_of(spark.read.parquet(lake.path("raw", "fraud_labels")))
-    known = known.filter(F.col("knowledge_date") < F.lit(knowledge_date))  # a run that is repeated replaces what it wrote
-    named = lambda df: df.select("transaction_id", "is_fraud", "is_fraud_raw", F.lit(batch).alias("source_batch_id"), _at(knowledge_date).alias("_recorded_at"), F.lit(knowledge_date).alias("knowledge_date"))
-    if known.isEmpty():
-        writers.overwrite_partitions(named(now), path, ["knowledge_date"])
-        return {"mode": "baseline", "changes": 0}
-    index = spark.read.parquet(lake.path("audit", "transaction_index"))
-    changes = T.with_day(audit.label_changes(now, known, index, F.lit(knowledge_date))).withColumns({"_detected_at": _at(knowledge_date), "_batch_id": F.lit(batch)})
-    scope = spark.range(1).select(F.lit(knowledge_date).alias("knowledge_date"))
-    names = [c.strip().split(" ")[0] for c in MANIFEST.split(",")]
-    writers.replace_partitions(changes.select(*names), lake.path("audit", "impact_manifest"), ["knowledge_date"], scope)
-    found = optional(spark, lake.path("audit", "impact_manifest"), MANIFEST).filter(F.col("knowledge_date") == F.lit(knowledge_date))
-    new = now.join(found.filter("change_type <> 'UNINDEXED'").select("transaction_id"), "transaction_id", "left_semi")
-    writers.replace_partitions(named(new), path, ["knowledge_date"], scope)
-    return {"mode": "changes", "changes": found.filter("change_type <> 'UNINDEXED'").count()}
-
-
-def _snapshot(spark: SparkSession, lake: Lake, rows: DataFrame, kind: str, knowledge_date: date, batch: str) -> None:
-    """Daily reports of rows; a report of that day, date of knowledge and kind that is there already stays, so that what was before is not taken from what came after."""
-    path = lake.path("audit", "report_snapshots")
-    named = {"report_date": F.col("event_date"), "snapshot_type": F.lit(kind), "knowledge_date": F.lit(knowledge_date), "_snapshotted_at": _at(knowledge_date), "_batch_id": F.lit(batch)}
-    there = optional(spark, path, SNAPSHOTS).filter((F.col("knowledge_date") == F.lit(knowledge_date)) & (F.col("snapshot_type") == kind)).select("report_date")
-    writers.append(audit.daily_report(rows).withColumns(named).drop("event_date").join(there, "report_date", "left_anti"), path, ["knowledge_date"])
-
-
-def restate(spark: SparkSession, lake: Lake, knowledge_date: date, batch: str) -> dict:
-    """Applies the changes found up to knowledge_date that the ledger doesn't have: reports before, the touched days of staging with the new labels, reports after,
-    the index's days, then the ledger. Run again after a failure it goes on where it was; without changes it does nothing."""
-    manifest = optional(spark, lake.path("audit", "impact_manifest"), MANIFEST).filter(F.col("knowledge_date") <= F.lit(knowledge_date))
-    ledger_path, path = lake.path("audit", "applied_ledger"), lake.path("staging", "transactions")
-    todo = audit.pending(manifest, optional(spark, ledger_path, LEDGER))
-    aside = writers.work_folder(spark)
-    tables.latest(todo, ["transaction_id"], [F.desc("knowledge_date")]).write.parquet(f"{aside}/changes")
-    changes = spark.read.parquet(f"{aside}/changes")
-    touched = [r.event_date for r in changes.select("event_date").distinct().orderBy("event_date").collect()]
-    if not touched:
-        return {"changes": 0, "days": 0}
-    # Of each touched day the partition is read whole; the list is as long as the days that late labels reach.
-    rows = spark.read.parquet(path).filter(F.make_date("year", "month", "day").isin(touched))
-    _snapshot(spark, lake, rows, "BEFORE", knowledge_date, batch)
-    audit.restate(rows, changes).select(*rows.columns).write.parquet(f"{aside}/rows")
-    after = spark.read.parquet(f"{aside}/rows")
-    writers.overwrite_partitions(after, path, DAY)
-    _snapshot(spark, lake, after, "AFTER", knowledge_date, batch)
-    writers.overwrite_partitions(T.index_of(after.drop(*DAY), _at(knowledge_date), batch), lake.path("audit", "transaction_index"), DAY)
-    # All that was pending is applied: of several changes of one transaction the last one holds.
-    done = audit.pending(manifest, optional(spark, ledger_path, LEDGER))
-    done = done.select("change_id", "transaction_id", "event_date", F.lit(knowledge_date).alias("knowledge_date"), _at(knowledge_date).alias("applied_at"), F.lit("APPLIED").alias("status"), F.col("event_date").cast("string").alias("partitions_touched"), F.lit(batch).alias("_batch_id"))
-    done.write.parquet(f"{aside}/done")
-    applied = spark.read.parquet(f"{aside}/done")
-    applied.write.mode("append").parquet(ledger_path)
-    return {"changes": applied.count(), "days": len(touched)}
+    with _changing(spark, lake, change) as change:
+        rows = change.read("staging", "transactions", day and day - timedelta(days=history_days), day)
+        more = {c: F.lit(None).cast(t) for c, t in FEATURE_COLUMNS.items() if c not in rows.columns}
+        out = features.point_in_time(rows.withColumns(more | {"amount": F.col("amount").cast("double")}))
+        out = out.filter(F.col("event_date") == F.lit(day)) if day else out
+        names = ["transaction_id", "user_id", "event_date", "amount", *FEATURE_COLUMNS, *(c for c in out.columns if c.startswith(("txn_", "amount_", "is_night", "is_week", "is_foreign")) and c not in ("amount_raw", "amount_format", "amount_currency"))]
+        return change.put("warehouse", "fraud_features", out.select(*names, *DAY), DAY)
+
+
+def build_index(spark: SparkSession, lake: Lake, at: date, batch: str, first: date | None = None, last: date | None = None, change: Change | None = None) -> dict:
+    with _changing(spark, lake, change) as change:
+        return change.put("audit", "transaction_index", T.index_of(change.read("staging", "transactions", first, last).drop(*DAY), _at(at), batch), DAY)
+
+
+def detect(spark: SparkSession, lake: Lake, knowledge_date: date, batch: str, change: Change | None = None) -> dict:
+    """What the labels of knowledge_date change: to the manifest, and to the history that later runs compare with. The first run has nothing to compare with: it
+    writes all its labels as the baseline and changes nothing (enrich gives them to transactions that are indexed later). In later runs labels of transactions that the
+    index lacks wait outside history and are found again."""
+    with _changing(spark, lake, change) as change:
+        known, now = change.read("audit", "label_history", default=HISTORY), labels_of(change.read("raw", "fraud_labels"))
+        known = known.filter(F.col("knowledge_date") < F.lit(knowledge_date))  # a run that is repeated replaces what it wrote
+        named = lambda df: df.select("transaction_id", "is_fraud", "is_fraud_raw", F.lit(batch).alias("source_batch_id"), _at(knowledge_date).alias("_recorded_at"), F.lit(knowledge_date).alias("knowledge_date"))
+        if known.isEmpty():
+            change.put("audit", "label_history", named(now), ["knowledge_date"])
+            return {"mode": "baseline", "changes": 0}
+        changes = T.with_day(audit.label_changes(now, known, change.read("audit", "transaction_index"), F.lit(knowledge_date))).withColumns({"_detected_at": _at(knowledge_date), "_batch_id": F.lit(batch)})
+        scope, applicable = [f"knowledge_date={knowledge_date}"], F.count_if(F.col("change_type") != "UNINDEXED")
+        got = change.put("audit", "impact_manifest", changes.select(*_names(MANIFEST)), ["knowledge_date"], scope, count={"changes": applicable})
+        found = change.read("audit", "impact_manifest").filter((F.col("knowledge_date") == F.lit(knowledge_date)) & (F.col("change_type") != "UNINDEXED"))
+        change.put("audit", "label_history", named(now.join(found.select("transaction_id"), "transaction_id", "left_semi")), ["knowledge_date"], scope)
+        return {"mode": "changes", "changes": got["changes"]}
+
+
+def restate(spark: SparkSession, lake: Lake, knowledge_date: date, batch: str, change: Change | None = None) -> dict:
+    """Applies the changes found up to knowledge_date that the ledger doesn't have: the touched days of staging and of the index with the new labels, reports of these days
+    before and after, and the ledger, all published together. Without changes it does nothing.
+
+    Of a day and date of knowledge the first report of before stays, and the last one of after, so that what two runs on one date have done is the difference of the two.
+    """
+    with _changing(spark, lake, change) as change:
+        manifest = change.read("audit", "impact_manifest", default=MANIFEST).filter(F.col("knowledge_date") <= F.lit(knowledge_date))
+        todo, aside = audit.pending(manifest, change.read("audit", "applied_ledger", default=LEDGER)), writers.work_folder(spark)
+        todo.write.parquet(aside)
+        todo = spark.read.parquet(aside)
+        # Of each touched day the partition is read whole; the list is as long as the days that late labels reach.
+        touched = [r.event_date for r in todo.select("event_date").distinct().orderBy("event_date").collect()]
+        if not touched:
+            writers.discard(spark, aside)
+            return {"changes": 0, "days": 0}
+        staged = lambda: change.read("staging", "transactions", touched[0], touched[-1]).filter(readers.day_column().isin(touched))
+        before = staged()
+        last_ones = tables.latest(todo, ["transaction_id"], [F.desc("knowledge_date")])
+        change.put("staging", "transactions", audit.restate(before, last_ones).select(*before.columns), DAY)
+        after = staged()
+        _report(change, before, after, knowledge_date, batch)
+        change.put("audit", "transaction_index", T.index_of(after.drop(*DAY), _at(knowledge_date), batch), DAY)
+        # All that was pending is applied: of several changes of one transaction the last one holds.
+        done = todo.select("change_id", "transaction_id", "event_date", F.lit(knowledge_date).alias("knowledge_date"), _at(knowledge_date).alias("applied_at"), F.lit("APPLIED").alias("status"), F.col("event_date").cast("string").alias("partitions_touched"), F.lit(batch).alias("_batch_id"))
+        got = change.append("audit", "applied_ledger", done)
+        writers.discard(spark, aside)
+        return {"changes": got["rows"], "days": len(touched)}
+
+
+def _report(change: Change, before: DataFrame, after: DataFrame, knowledge_date: date, batch: str) -> None:
+    """Daily reports of the days before and after, with those of the same date of knowledge that are there: of before the older one stays, of after the newer one."""
+    more = lambda kind: {"report_date": F.col("event_date"), "snapshot_type": F.lit(kind), "knowledge_date": F.lit(knowledge_date), "_snapshotted_at": _at(knowledge_date), "_batch_id": F.lit(batch)}
+    report = lambda rows, kind: audit.daily_report(rows).withColumns(more(kind)).select(*_names(SNAPSHOTS))
+    there = change.read("audit", "report_snapshots", default=SNAPSHOTS).filter(F.col("knowledge_date") == F.lit(knowledge_date)).select(*_names(SNAPSHOTS))
+    was, is_now = there.filter("snapshot_type = 'BEFORE'"), report(after, "AFTER")
+    out = was.unionByName(report(before, "BEFORE").join(was, "report_date", "left_anti"))
+    out = out.unionByName(there.filter("snapshot_type = 'AFTER'").join(is_now, "report_date", "left_anti")).unionByName(is_now)
+    change.put("audit", "report_snapshots", out, ["knowledge_date"])
 
 
 def reconcile(spark: SparkSession, lake: Lake, first: date | None = None, last: date | None = None) -> DataFrame:
     """Raw, repeated, accepted and quarantined rows of each day, written to audit and returned from there."""
-    read = lambda zone: _range(spark, lake.path(zone, "transactions"), first, last)
-    raw = read("raw").select(F.col("id").alias("transaction_id"), F.make_date("year", "month", "day").alias("event_date"))
-    out = T.with_day(audit.reconcile(raw, read("staging"), read("quarantine")))
-    writers.overwrite_partitions(out, lake.path("audit", "reconciliation"), DAY)
-    return _range(spark, lake.path("audit", "reconciliation"), first, last)
+    with lake.change(spark) as change:
+        read = lambda zone: change.read(zone, "transactions", first, last)
+        raw = read("raw").select(F.col("id").alias("transaction_id"), readers.day_column().alias("event_date"))
+        change.put("audit", "reconciliation", T.with_day(audit.reconcile(raw, read("staging"), read("quarantine"))), DAY)
+    return lake.read(spark, "audit", "reconciliation", first, last)
 
 
 def raw_checks(spark: SparkSession, lake: Lake, day: date) -> None:
     """Raises if the day has no raw transactions, or some without an id, or there are no categories."""
-    found = days(spark, lake.path("raw", "transactions"), day, day).agg(F.count("*").alias("n"), F.count_if(F.col("id").isNull()).alias("no_id")).first()
-    if not found.n or found.no_id or spark.read.parquet(lake.path("raw", "mcc_codes")).isEmpty():
+    found = lake.read(spark, "raw", "transactions", day, day).agg(F.count("*").alias("n"), F.count_if(F.col("id").isNull()).alias("no_id")).first()
+    if not found.n or found.no_id or lake.read(spark, "raw", "mcc_codes").isEmpty():
         raise ValueError(f"raw data of {day}: {found.n} transactions, {found.no_id} without id")
 
 
-def vacuum_quarantine(spark: SparkSession, lake: Lake, today: date, keep_days: int = 30) -> None:
-    """Drops what was resolved more than keep_days ago; only days that lose rows are written, and those that lose all of them go."""
-    path = lake.path("quarantine", "transactions")
-    rows = spark.read.parquet(path)
-    old = rows.filter(F.to_date("resolved_at") < F.date_sub(F.lit(today), keep_days)).select(*DAY).distinct()
-    aside = writers.work_folder(spark)
-    old.write.parquet(f"{aside}/days")
-    scope = spark.read.parquet(f"{aside}/days")
-    writers.retained(rows.join(F.broadcast(scope), DAY, "left_semi"), F.lit(today), keep_days).write.parquet(f"{aside}/rows")
-    writers.replace_partitions(spark.read.parquet(f"{aside}/rows").select(*rows.columns), path, DAY, scope)
+def vacuum_quarantine(spark: SparkSession, lake: Lake, today: date, keep_days: int = 30) -> int:
+    """Drops what was resolved more than keep_days ago; only days that lose rows are written, and those that lose all of them go. Returns the number of these days."""
+    with lake.change(spark) as change:
+        rows = change.read("quarantine", "transactions")
+        old = rows.filter(F.to_date("resolved_at") < F.date_sub(F.lit(today), keep_days)).select(*DAY).distinct().collect()
+        if not old:
+            return 0
+        days = F.broadcast(spark.createDataFrame(old, "y int, m int, d int"))  # one row for each partition at most
+        there = rows.join(days, F.col("year").eqNullSafe(F.col("y")) & F.col("month").eqNullSafe(F.col("m")) & F.col("day").eqNullSafe(F.col("d")), "left_semi")
+        change.put("quarantine", "transactions", writers.retained(there, F.lit(today), keep_days), DAY, [partition_of(r) for r in old])
+    return len(old)
 
 
-def compact_day(spark: SparkSession, lake: Lake, zone: str, name: str, day: date, key: str | None = None, sort: str | None = None) -> None:
-    writers.compact_in_place(spark, f"{lake.path(zone, name)}/year={day.year}/month={day.month}/day={day.day}", key, sort)
+def partition_of(day: date | tuple) -> str:
+    year, month, day_no = (day.year, day.month, day.day) if isinstance(day, date) else day
+    return "/".join(f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(DAY, (year, month, day_no), strict=True))
+
 
+def _compacted(spark: SparkSession, lake: Lake, change: Change, zone: str, name: str, first: date, last: date, key: str | None, file_bytes: int) -> tuple[DataFrame, int]:
+    """Rows of the days, each key once if one is given, and how many of them make a file of file_bytes, by what they take now."""
+    found = change.read(zone, name, first, last)
+    table = change.state.tables[f"{zone}/{name}"]
+    paths = [f"{lake.path(zone, name)}/{v}/{p}" for p in table.select(first, last) for v in table.parts[p]]
+    return (found.dropDuplicates([key]) if key else found), writers.file_rows(spark, paths, found.count(), file_bytes)
 
-def compact_month(spark: SparkSession, lake: Lake, zone: str, name: str, year: int, month: int, key: str | None = None, sort: str | None = None) -> str:
-    """The month in fewer, larger files, more strongly compressed, beside the lake's own: warm/name/year=/month=."""
-    target = f"{lake.path('warm', name)}/year={year}/month={month}"
-    writers.compact(spark, f"{lake.path(zone, name)}/year={year}/month={month}", target, key, sort, writers.WARM_FILE_BYTES, "zstd")
-    return target
+
+def compact_day(spark: SparkSession, lake: Lake, zone: str, name: str, day: date, key: str | None = None, sort: str | None = None) -> None:
+    with lake.change(spark) as change:
+        rows, most = _compacted(spark, lake, change, zone, name, day, day, key, writers.FILE_BYTES)
+        change.put(zone, name, rows, DAY, file_rows=most, sort=sort)
+
+
+def compact_month(spark: SparkSession, lake: Lake, zone: str, name: str, year: int, month: int, key: str | None = None, sort: str | None = None, move: bool = True) -> None:
+    """The month in fewer, larger files, more strongly compressed, in the table warm/name by year and month. With move its days leave the lake's own table in the
+    same change, so that `tiers` finds each row once at any time."""
+    first, last = date(year, month, 1), (date(year, month, 28) + timedelta(days=4)).replace(day=1) - timedelta(days=1)
+    with lake.change(spark) as change:
+        rows, most = _compacted(spark, lake, change, zone, name, first, last, key, writers.WARM_FILE_BYTES)
+        change.put("warm", name, rows, DAY[:2], file_rows=most, sort=sort, compression="zstd")
+        if move:
+            change.drop(zone, name, change.partitions(zone, name, first, last))
+
+
+def tiers(spark: SparkSession, lake: Lake, zone: str, name: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """Rows of a table whose older months were moved to the warm tier: those months from there, other days from the table itself, all of one published state."""
+    state = lake.state(spark)
+    hot = lake._read(spark, state, f"{zone}/{name}", first, last)
+    if f"warm/{name}" not in state.tables:
+        return hot
+    warm = lake._read(spark, state, f"warm/{name}")
+    if first:
+        month = F.col("year") * 100 + F.col("month")
+        end = last or first
+        warm = warm.filter(month.between(first.year * 100 + first.month, end.year * 100 + end.month) & readers.day_column().between(F.lit(first), F.lit(end)))
+    return hot.unionByName(warm, allowMissingColumns=True)
+
+
+def append_batch(spark: SparkSession, lake: Lake, zone: str, name: str, rows: DataFrame, column: str, key: str, change: Change | None = None) -> dict:
+    """Adds those rows whose column is above the table's high-water mark, or at it with a key that isn't there yet, and moves the mark, in one change. A batch that comes again adds
+    nothing, and one that brings more rows of the last moment adds these; rows without a column are never newer, a key that repeats at one moment counts once."""
+    with _changing(spark, lake, change) as change:
+        mark = change.mark(zone, name, column)
+        fresh = rows.filter(F.col(column).isNotNull()).dropDuplicates([key, column])
+        if mark is not None:
+            at = F.lit(mark).cast(rows.schema[column].dataType)
+            last_ones = change.read(zone, name).filter(F.col(column) >= at).select(key, column)
+            fresh = fresh.filter(F.col(column) >= at).join(last_ones, [key, column], "left_anti")
+        got = change.append(zone, name, fresh, count={"mark": F.max(column).cast("string")})
+        if got["mark"] is not None:
+            change.mark(zone, name, column, got["mark"])
+        return {"rows": got["rows"], "mark": change.mark(zone, name, column)}

@@ -1,4 +1,4 @@
-"""Writers: partitions replaced in place, whole tables swapped, compaction, retention."""
+"""What writers of files share: work folders, sizes of files, retention. Tables are written by `sources.lake`."""
 
 from __future__ import annotations
 
@@ -28,66 +28,16 @@ def work_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/jobs/{uuid.uuid4().hex}"
 
 
-def overwrite_partitions(df: DataFrame, path: str, columns: list[str], compression: str = "snappy") -> None:
-    """Replaces the partitions that df has rows for and no others; REBALANCE makes files of even size, and splits a large partition's."""
-    df.hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression).partitionBy(*columns).parquet(path)
-
-
-def replace_partitions(df: DataFrame, path: str, columns: list[str], scope: DataFrame) -> None:
-    """overwrite_partitions, after which the partitions of scope (a row of columns for each, as many as a job's days) that df has no rows for are gone too: an
-    overwrite alone would leave what they held before."""
-    spark = df.sparkSession
-    wanted = {tuple(r) for r in scope.select(*columns).distinct().collect()}
-    there = {tuple(r) for r in df.select(*columns).distinct().collect()}
-    overwrite_partitions(df, path, columns)
-    for values in wanted - there:
-        fs, p = _fs(spark, "/".join([path, *(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(columns, values, strict=True))]))
-        fs.delete(p, True)
-
-
-def append(df: DataFrame, path: str, columns: list[str]) -> None:
-    df.write.mode("append").partitionBy(*columns).parquet(path)
-
-
-def swap(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Replaces a whole table, which df may be read from: the new rows are written aside and moved in when they are complete. With files, in so many."""
-    spark = df.sparkSession
-    aside, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    (df.coalesce(files) if files else df).write.parquet(aside)
-    fs, target = _fs(spark, path)
-    of = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
-    fs.mkdirs(target.getParent())
-    had = fs.exists(target)
-    if had:
-        fs.rename(target, of(old))
-    fs.rename(of(aside), target)
-    if had:
-        fs.delete(of(old), True)
-
-
-def file_rows(spark: SparkSession, path: str, rows: int, file_bytes: int = FILE_BYTES) -> int:
-    """Rows of a file of file_bytes, by what the rows at path take now."""
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a work folder once its tables have been read for the last time."""
     fs, p = _fs(spark, path)
-    return max(1, int(file_bytes * rows / max(1, fs.getContentSummary(p).getLength())))
-
-
-def compact(spark: SparkSession, path: str, target: str, key: str | None = None, sort: str | None = None, file_bytes: int = FILE_BYTES, compression: str = "snappy") -> None:
-    """The rows of path, each key once if one is given, in files of about file_bytes, at target. A reader of path is not disturbed; moving
-    readers to target is the caller's last step."""
-    found = spark.read.parquet(path)
-    rows = found.dropDuplicates([key]) if key else found
-    rows = rows.hint("rebalance")
-    rows = rows.sortWithinPartitions(sort) if sort else rows
-    rows.write.option("maxRecordsPerFile", file_rows(spark, path, found.count(), file_bytes)).option("compression", compression).parquet(target)
+    fs.delete(p, True)
 
 
-def compact_in_place(spark: SparkSession, path: str, key: str | None = None, sort: str | None = None) -> None:
-    """A day's folder, compacted aside and swapped in."""
-    aside = f"{path}.compact-{uuid.uuid4().hex}"
-    compact(spark, path, aside, key, sort)
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-    fs.rename(spark._jvm.org.apache.hadoop.fs.Path(aside), p)
+def file_rows(spark: SparkSession, paths: list[str], rows: int, file_bytes: int = FILE_BYTES) -> int:
+    """Rows of a file of file_bytes, by what the rows at paths take now."""
+    taken = sum(fs.getContentSummary(p).getLength() for fs, p in (_fs(spark, x) for x in paths))
+    return max(1, int(file_bytes * rows / max(1, taken)))
 
 
 def retained(quarantine: DataFrame, today: Column, keep_days: int = 30) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,14 +10,16 @@ from pyspark.sql import functions as F
 
 from tidemark import catalogue, jobs
 from tidemark.catalogue import _LABEL, _LATER, _NUMBERS, _VALUE, _query
-from tidemark.sources import readers, writers
+from tidemark.sources import catalog, readers, writers
 from tidemark.sources.lake import Lake
 from tidemark.sources.readers import table
+from tidemark.streaming import labels as label_streams
 
 KNOWN, LATER, TODAY = date(2024, 2, 1), date(2024, 3, 1), date(2024, 3, 2)
 TRACKED = ["credit_band", "age_group", "yearly_income"]
 #: Lakes by application, source, how far their jobs have run and the state of the source; filled once, since the jobs leave the same tables each time.
 _LAKES: dict[tuple, Lake] = {}
+_COUNTS: dict[str, dict] = {}
 
 
 def raw_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
@@ -48,10 +51,10 @@ def _base(spark: SparkSession, sf_dir: str) -> Lake:
     rows = readers.raw_transactions(spark, sf_dir).withColumn("_loaded_at", F.expr("timestamp'2024-02-01 00:00:00' + make_interval(0, 0, 0, again)"))
     codes = spark.range(6).selectExpr("cast(5000 + id as string) as mcc_code", "concat('Category ', id) as description")
     sources = {"transactions": rows, "fraud_labels": raw_labels(spark, sf_dir, _LABEL), "users": raw_users(spark, sf_dir), "cards": raw_cards(spark, sf_dir), "mcc_codes": codes}
-    jobs.ingest_all(spark, lake, sources, KNOWN, "b1")
-    jobs.clean(spark, lake, KNOWN)
+    ingested = {r["table"]: r["rows"] for r in jobs.ingest_all(spark, lake, sources, KNOWN, "b1")}
+    cleaned = jobs.clean(spark, lake, KNOWN)
     jobs.clean_dimensions(spark, lake, KNOWN)
-    jobs.enrich(spark, lake)
+    _COUNTS[lake.root] = {"ingest": {"rows": ingested["transactions"]}, "clean": {k: cleaned[k] for k in ("rows", "accepted", "rejected")}, "enrich": jobs.enrich(spark, lake)}
     jobs.build_index(spark, lake, KNOWN, "b1")
     return lake
 
@@ -67,6 +70,37 @@ def _story(spark: SparkSession, sf_dir: str) -> Lake:
     return lake
 
 
+def _cleaned_again(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake of which one day, the first, is cleaned once more after it was enriched, and all days are indexed after that."""
+    lake = _base(spark, sf_dir)
+    jobs.clean(spark, lake, LATER, date(2024, 1, 1))
+    jobs.build_index(spark, lake, LATER, "b2")
+    return lake
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake whose later labels come as a stream of three batches of files, run a second time from its start."""
+    lake, path = _base(spark, sf_dir), writers.work_folder(spark)
+    jobs.detect(spark, lake, KNOWN, "b1")
+    for part in range(3):
+        raw_labels(spark, sf_dir, _LATER).filter(F.crc32("transaction_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    for run in range(2):
+        stream = spark.readStream.schema(label_streams.RAW_LABELS).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        label_streams.restate_late_labels(stream, lake, LATER, f"{path}/checkpoint-{run}").awaitTermination()
+    return lake
+
+
+def _two_tiers(spark: SparkSession, sf_dir: str) -> Lake:
+    """Raw transactions of two months, the first of which has moved to the warm tier."""
+    lake = Lake(writers.work_folder(spark))
+    rows = _read(spark, sf_dir, "raw", "transactions")
+    february = rows.filter("day <= 3").withColumns({"month": F.lit(2), "id": F.concat("id", F.lit("-2"))})
+    with lake.change(spark) as change:
+        change.put("raw", "transactions", rows.unionByName(february), readers.DAY)
+    jobs.compact_month(spark, lake, "raw", "transactions", 2024, 1, "id", "client_id")
+    return lake
+
+
 def _age(spark: SparkSession, sf_dir: str) -> tuple:
     """Sizes and times of the files that lakes are filled from, so that a changed table fills a new lake."""
     paths = [spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet") for name in ("events", "customer")]
@@ -241,3 +275,106 @@ def label_texts(spark, sf_dir):
 
     text = table(spark, sf_dir, "events").selectExpr("event_id", "case event_id % 4 when 0 then 'yEs' when 1 then 'NO' when 2 then 'maybe' end as t")
     return text.select("event_id", C.yes_or_no(F.col("t")).alias("is_fraud"), C.yes(F.col("t")).alias("yes"))
+
+
+@_query(f"WITH {_GOOD} SELECT transaction_id, is_fraud FROM good")
+def lake_cleaned_again(spark, sf_dir):
+    """All labels are there although a day was cleaned after enrichment."""
+    return _read(spark, sf_dir, "audit", "transaction_index", _cleaned_again).select("transaction_id", "is_fraud")
+
+
+@_query(f"WITH {_GOOD} SELECT transaction_id, later AS is_fraud, amount FROM good")
+def stream_restated(spark, sf_dir):
+    """Late labels from files through a stream: what the batch job leaves."""
+    return _read(spark, sf_dir, "staging", "transactions", _streamed).select("transaction_id", "is_fraud", F.col("amount").cast("double").alias("amount"))
+
+
+@_query(f"""WITH {_CHANGED} SELECT transaction_id, is_fraud AS old_is_fraud, later AS new_is_fraud, change_type FROM ch""")
+def stream_changes(spark, sf_dir):
+    """Each change once in the manifest, although the stream ran twice."""
+    return _read(spark, sf_dir, "audit", "impact_manifest", _streamed).select("transaction_id", "old_is_fraud", "new_is_fraud", "change_type")
+
+
+@_query("""SELECT CAST(event_id AS VARCHAR) AS id, CAST(1 AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-02' AND DATE '2024-01-31'
+ UNION ALL SELECT concat(event_id, '-2'), 2, day(ts) FROM events, (SELECT unnest([0, 1]) AS again) WHERE day(ts) <= 2 AND (again = 0 OR event_id % 10 = 0)""")
+def lake_tiers(spark, sf_dir):
+    """Days over both tiers, the hot days of the first month gone: each row once."""
+    return jobs.tiers(spark, lake_of(spark, sf_dir, _two_tiers), "raw", "transactions", date(2024, 1, 2), date(2024, 2, 2)).select("id", "month", "day")
+
+
+@_query("SELECT event_id, ts AS at, value FROM events WHERE event_id % 3 <> 2 OR event_id % 2 = 0")
+def append_by_mark(spark, sf_dir):
+    """Three batches in order of time, the middle one delivered twice: rows above the mark, each once."""
+    lake = Lake(writers.work_folder(spark))
+    rows = table(spark, sf_dir, "events").filter("event_id % 3 <> 2 or event_id % 2 = 0").select("event_id", F.col("ts").alias("at"), "value")
+    ends = [date(2024, 1, 1), date(2024, 1, 11), date(2024, 1, 21), date(2024, 12, 31)]
+    for k in (0, 1, 1, 2):
+        jobs.append_batch(spark, lake, "warehouse", "events", rows.filter((F.col("at") >= F.lit(ends[k])) & (F.col("at") < F.lit(ends[k + 1]))), "at", "event_id")
+    return lake.read(spark, "warehouse", "events")
+
+
+@_query("""SELECT 'ingest' AS job, 'rows' AS what, count(*) + count(*) FILTER (event_id % 10 = 0) AS n FROM events UNION ALL SELECT 'clean', 'rows', count(*) FROM events
+ UNION ALL SELECT 'clean', 'accepted', count(*) FILTER (event_id % 8 NOT IN (5, 6)) FROM events UNION ALL SELECT 'clean', 'rejected', count(*) FILTER (event_id % 8 IN (5, 6)) FROM events
+ UNION ALL SELECT 'enrich', 'rows', count(*) FROM events WHERE event_id % 8 NOT IN (5, 6) UNION ALL SELECT 'enrich', 'with_label', count(*) FROM events WHERE event_id % 8 NOT IN (5, 6) AND event_id % 7 <> 1
+ UNION ALL SELECT 'enrich', 'with_category', count(*) FROM events WHERE event_id % 8 NOT IN (5, 6) AND event_id % 7 <> 6 UNION ALL SELECT 'enrich', 'with_card', count(*) FROM events WHERE event_id % 8 NOT IN (5, 6) AND user_id IN (SELECT c_custkey FROM customer)""")
+def job_counts(spark, sf_dir):
+    """What jobs say of their rows, counted while they write: rows, accepted and rejected ones, those that found a label, a category, a card."""
+    lake = lake_of(spark, sf_dir, _base)
+    return spark.createDataFrame([(job, what, n) for job, counts in _COUNTS[lake.root].items() for what, n in counts.items()], "job string, what string, n long")
+
+
+@_query(f"WITH {_GOOD} SELECT transaction_id, amount, is_fraud, CAST(day(event_date) AS INTEGER) AS day FROM good WHERE day(event_date) <> 5 AND day(event_date) <= 9 UNION ALL SELECT concat(transaction_id, 'x'), amount, is_fraud, 9 FROM good WHERE day(event_date) = 5")
+def catalogued(spark, sf_dir):
+    """By SQL alone: an external table, days that were written behind the catalogue's back and found by repair, one day put in place of another by INSERT OVERWRITE, a day dropped."""
+    path, name, source = writers.work_folder(spark), f"days_{uuid.uuid4().hex}", f"staged_{uuid.uuid4().hex}"
+    rows = _read(spark, sf_dir, "staging", "transactions").select("transaction_id", F.col("amount").cast("double").alias("amount"), "is_fraud", "year", "month", "day").filter("day <= 10")
+    catalog.published_table(spark, lake_of(spark, sf_dir), "staging", "transactions", source)
+    catalog.external_table(spark, name, path, rows.schema, readers.DAY)
+    rows.write.partitionBy(*readers.DAY).mode("append").parquet(path)
+    catalog.repair(spark, name)
+    spark.sql(f"INSERT OVERWRITE {name} PARTITION (year = 2024, month = 1, day = 9) SELECT concat(transaction_id, 'x'), CAST(amount AS double), is_fraud FROM {source} WHERE day = 5")
+    rows.filter("day = 9").write.partitionBy(*readers.DAY).mode("append").parquet(path)
+    catalog.repair(spark, name)
+    spark.sql(f"ALTER TABLE {name} DROP PARTITION (year = 2024, month = 1, day = 5)")
+    return spark.sql(f"SELECT transaction_id, amount, is_fraud, day FROM {name} WHERE day <= 9")
+
+
+@_query(f"WITH {_GOOD} SELECT transaction_id, amount, is_fraud FROM good WHERE day(event_date) BETWEEN 3 AND 5")
+def catalogued_lake(spark, sf_dir):
+    """A published table of the lake through the catalogue, some days by SQL."""
+    name = f"staged_{uuid.uuid4().hex}"
+    catalog.published_table(spark, lake_of(spark, sf_dir), "staging", "transactions", name)
+    return spark.sql(f"SELECT transaction_id, CAST(amount AS double) AS amount, is_fraud FROM {name} WHERE day BETWEEN 3 AND 5")
+
+
+def bucketed(spark: SparkSession, sf_dir: str, buckets: int = 16) -> DataFrame:
+    path, run = writers.work_folder(spark), uuid.uuid4().hex
+    events = table(spark, sf_dir, "events").selectExpr("cast(event_id as string) as transaction_id", "user_id", "value as amount")
+    catalog.bucketed_table(events, f"bucketed_events_{run}", "transaction_id", buckets, f"{path}/events")
+    catalog.bucketed_table(jobs.labels_of(raw_labels(spark, sf_dir, _LABEL)).filter("is_fraud is not null"), f"bucketed_labels_{run}", "transaction_id", buckets, f"{path}/labels")
+    return spark.table(f"bucketed_events_{run}").join(spark.table(f"bucketed_labels_{run}").hint("merge"), "transaction_id", "left").select("transaction_id", "user_id", "amount", "is_fraud")
+
+
+@_query(f"SELECT CAST(event_id AS VARCHAR) AS transaction_id, user_id, value AS amount, {_LABEL} AS is_fraud FROM events")
+def bucketed_labels(spark, sf_dir):
+    """Transactions and labels as bucketed tables, joined without an exchange."""
+    return bucketed(spark, sf_dir)
+
+
+@_query("SELECT CAST(c_custkey AS VARCHAR) AS user_id, CAST(250 + c_custkey % 650 AS INTEGER) AS credit_score, c_custkey * 10.0 AS yearly_income FROM customer WHERE 250 + c_custkey % 650 BETWEEN 300 AND 850")
+def view_valid_users(spark, sf_dir):
+    catalog.views(spark, lake_of(spark, sf_dir))
+    return spark.sql("SELECT user_id, credit_score, yearly_income FROM valid_users")
+
+
+@_query(f"WITH {_CHANGED} SELECT transaction_id, event_date, change_type, later AS new_is_fraud FROM ch", "event_date")
+def view_label_impact(spark, sf_dir):
+    catalog.views(spark, lake_of(spark, sf_dir, _story))
+    return spark.sql("SELECT transaction_id, event_date, change_type, new_is_fraud FROM label_impact")
+
+
+@_query(f"""WITH {_CHANGED} SELECT event_date AS report_date, count(*) FILTER (is_fraud) AS fraud_before, count(*) FILTER (later) AS fraud_after, count(*) AS total_txn_count,
+ round(coalesce(sum(amount) FILTER (later), 0) - coalesce(sum(amount) FILTER (is_fraud), 0), 6) AS fraud_amount_change FROM good WHERE event_date IN (SELECT event_date FROM ch) GROUP BY 1""", "report_date")
+def view_restatement_report(spark, sf_dir):
+    catalog.views(spark, lake_of(spark, sf_dir, _story))
+    return spark.sql("SELECT report_date, fraud_before, fraud_after, total_txn_count, round(fraud_amount_change, 6) AS fraud_amount_change FROM restatement_report")

@@ -58,8 +58,22 @@ def merge_versions(dim: DataFrame, now: DataFrame, key: str, tracked: Sequence[s
 
 
 def version_at(facts: DataFrame, dim: DataFrame, key: str, at: str, columns: Sequence[str]) -> DataFrame:
-    """facts with the columns of the version that held at the time: valid_from <= at < valid_to. An equi-join on the key with the
-    interval as a further condition, so that it is hashed or sorted like any other."""
-    d = dim.select(F.col(key).alias("__key"), "valid_from", "valid_to", *columns)
-    held = (F.col(key) == F.col("__key")) & (F.col(at) >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col(at) < F.col("valid_to")))
-    return facts.join(d, held, "left").drop("__key", "valid_from", "valid_to")
+    """facts with the columns of the version that held at the time: valid_from <= at < valid_to, an open valid_to being null. Of versions that overlap the one that began last counts.
+
+    Nothing is multiplied: versions and facts of a key are put in order of time, and the last version is carried forward. That goes in two steps, so that a key of very many facts is
+    spread over its days: first to the beginning of each day that has facts, over one row for each key and day; then within the day.
+    """
+    kind = facts.schema[at].dataType
+    moment = lambda c: F.col(c).cast(kind)
+    held = F.struct(moment("valid_to").alias("__end"), *[F.col(c) for c in columns])
+    # Sorted by time, then: the version carried to the day, versions that begin then (those that end first before others), facts.
+    versions = dim.filter(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(F.col(key).alias("__key"), moment("valid_from").alias("__at"), F.lit(1).alias("__kind"), held.alias("__version"))
+    rows = facts.select(*[F.col(f"`{c}`") for c in facts.columns], F.col(key).alias("__key"), F.to_date(at).alias("__day"), F.col(at).alias("__at"), F.lit(2).alias("__kind"))
+    days = rows.select("__key", "__day").distinct().withColumns({"__at": moment("__day"), "__kind": F.lit(2)})
+    order = [F.col("__at"), F.col("__kind"), F.asc_nulls_last("__version.__end")]
+    last = lambda *by: F.last("__version", ignorenulls=True).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    starts = days.unionByName(versions, allowMissingColumns=True).withColumn("__version", last("__key")).filter("__kind = 2").withColumn("__kind", F.lit(0))
+    every = rows.unionByName(versions.withColumn("__day", F.to_date("__at")), allowMissingColumns=True).unionByName(starts, allowMissingColumns=True)
+    out = every.withColumn("__version", last("__key", "__day")).filter("__kind = 2")
+    holds = F.col("__version.__end").isNull() | (F.col("__at") < F.col("__version.__end"))
+    return out.select(*[F.col(f"`{c}`") for c in facts.columns], *[F.when(holds, F.col(f"__version.`{c}`")).alias(c) for c in columns])

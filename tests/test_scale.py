@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tests.test_jobs import Killed, killed, late_label_lake, states
+from tests.test_jobs import Killed, ingest, killed, late_label_lake, row, states
 from tidemark import catalogue_lake, jobs
 from tidemark.operators import features, tables
 from tidemark.sources import catalog, readers
@@ -147,3 +147,23 @@ def test_stream_stopped_anywhere(spark, tmp_path, monkeypatch):
         extra.unlink()
     run()
     assert states(spark, lake) == before
+
+
+def test_label_before_its_transaction(spark, tmp_path):
+    """A label that comes before its transaction is indexed waits, and is applied once with the next batch after; one that comes again meanwhile takes its place."""
+    lake = late_label_lake(spark, str(tmp_path / "lake"))
+    jobs.detect(spark, lake, date(2024, 2, 1), "b1")
+
+    def run(batch):
+        spark.createDataFrame(list(batch.items()), labels.RAW_LABELS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(labels.RAW_LABELS).parquet(str(tmp_path / "in"))
+        labels.restate_late_labels(stream, lake, date(2024, 3, 1), str(tmp_path / "c")).awaitTermination()
+        return sorted((r.transaction_id, r.change_type, r.new_is_fraud) for r in lake.read(spark, "audit", "impact_manifest").collect())
+
+    assert run({"late": "Yes"}) == [] and run({"late": "No"}) == []
+    ingest(spark, lake, [row("late", "2024-01-02", "$9.00"), row("b", "2024-01-02", "$1.00"), row("c", "2024-01-02", "$2.00")])
+    jobs.clean(spark, lake, date(2024, 1, 3), date(2024, 1, 2))
+    jobs.build_index(spark, lake, date(2024, 1, 3), "b", date(2024, 1, 2))
+    assert run({"a": "No"}) == [("late", "NEW_LABEL", False)]
+    assert {r.transaction_id: r.is_fraud for r in lake.read(spark, "staging", "transactions").collect()} == {"a": False, "b": False, "c": None, "late": False}
+    assert lake.read(spark, "audit", "waiting_labels").count() == 0

@@ -1,17 +1,17 @@
 """Readers and writers that no query uses, and the streams, on small inputs of their own."""
 
 import os
-from datetime import date, datetime
+import random
+from collections import Counter
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tidemark import catalogue_lake
 from tidemark.sources import readers, writers
 from tidemark.sources.lake import Lake
 from tidemark.streaming import labels
 
-LABELS = "transaction_id string, is_fraud boolean, knowledge_date date, _recorded_at timestamp"
-LEDGER = "change_id string, transaction_id string, new_is_fraud boolean, old_is_fraud boolean, change_type string, knowledge_date date, event_date date"
-
 
 def test_csv(spark, tmp_path):
     (tmp_path / "x.csv").write_text('id,amount\n1,$5.00\n2,\n"3","1,234.56"\n')
@@ -19,23 +19,33 @@ def test_csv(spark, tmp_path):
     assert [tuple(r) for r in got] == [("1", "$5.00"), ("2", None), ("3", "1,234.56")]
 
 
-def test_jdbc(spark, tmp_path):
-    """Ranges and one connection read the same rows. Derby, which comes with Spark, lacks REPLACE, so the test declares it."""
-    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    rows = [(str(i * 37), f"x{i}") for i in range(50)] + [(None, "no id")]
-    connection = spark._jvm.java.sql.DriverManager.getConnection(url)
-    values = ", ".join(f"('{i}', '{x}')" if i else f"(NULL, '{x}')" for i, x in rows)
-    for statement in (
-        "CREATE TABLE T (ID VARCHAR(20), X VARCHAR(20))",
-        f"INSERT INTO T VALUES {values}",
-        "CREATE FUNCTION REPLACE(A VARCHAR(20), B VARCHAR(20), C VARCHAR(20)) RETURNS VARCHAR(20) PARAMETER STYLE JAVA NO SQL LANGUAGE JAVA EXTERNAL NAME 'org.apache.commons.lang3.StringUtils.replace'",
-    ):
-        connection.createStatement().execute(statement)
-    connection.close()
-    one = readers.jdbc(spark, url, "T", driver)
-    four = readers.jdbc(spark, url, "T", driver, "ID", 4)
-    assert one.columns == four.columns == ["ID", "X"] and one.rdd.getNumPartitions() == 1 and four.rdd.getNumPartitions() == 4
+def test_jdbc(spark):
+    """Ranges and one connection read the same rows, null ids among them; ranges hold about as many rows each, though most ids lie close together."""
+    rows = [(str(k if k % 20 else 10**11 + k * 10**9), f"x{k}") for k in range(1, 1001)] + [(None, "no id"), ("7-7", "with a dash")]
+    url = catalogue_lake.derby(spark, {"t": spark.createDataFrame(rows, "id string, x string")})
+    one, four = readers.jdbc(spark, url, "t", catalogue_lake.DERBY), readers.jdbc(spark, url, "t", catalogue_lake.DERBY, "id", 4)
+    assert one.columns == four.columns == ["id", "x"] and one.rdd.getNumPartitions() == 1 and four.rdd.getNumPartitions() == 4
     assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, four.collect()), key=str) == sorted(rows, key=str)
+    sizes = [len(p) for p in four.rdd.glom().collect()]
+    assert max(sizes) <= 2 * min(sizes)
+    empty = catalogue_lake.derby(spark, {"t": spark.createDataFrame([], "id string, x string")})
+    assert readers.jdbc(spark, empty, "t", catalogue_lake.DERBY, "id", 4).count() == 0
+
+
+def test_balanced_cuts():
+    rng = random.Random(4)
+    for keys in ([rng.randrange(10) for _ in range(1000)], [int(rng.lognormvariate(10, 5)) for _ in range(1000)], [5] * 400 + list(range(600)), [0], list(range(8)), [-50, -3, 10**15]):
+        asked = []
+
+        def histogram(low, width, high, keys=keys, asked=asked):
+            asked.append(low)
+            return sorted(Counter((k - low) // width for k in keys if low <= k < high).items())
+
+        cuts = readers.balanced_cuts(histogram, min(keys), max(keys), 8)
+        sizes = Counter(sum(c <= k for c in cuts) for k in keys)
+        most = Counter(keys).most_common(1)[0][1]
+        assert cuts == sorted(set(cuts)) and len(cuts) <= 7 and len(asked) < 200
+        assert max(sizes.values()) <= max(1.5 * len(keys) / 8 + 1, most + len(keys) / 8)
 
 
 def test_append_and_retention(spark, tmp_path):
@@ -63,47 +73,3 @@ def test_activity(spark, tmp_path):
     query.awaitTermination()
     got = {(r.user_id, r.start, r.txn_count, r.amount_sum) for r in spark.table("activity").select("user_id", F.date_format("window.start", "d H").alias("start"), "txn_count", "amount_sum").collect()}
     assert got == {("u", "15 10", 2, 3.0), ("v", "20 1", 1, 5.0), ("v", "20 2", 1, 7.0)}
-
-
-def test_late_labels(spark, tmp_path):
-    """Each change reaches the ledger once, whether labels come again or the stream is replayed from its start."""
-    path = lambda name: str(tmp_path / name)
-    rows = lambda pairs, day: spark.createDataFrame([(t, f, day, datetime(day.year, day.month, day.day)) for t, f in pairs], LABELS)
-    rows([("t1", False), ("t4", True)], date(2024, 1, 1)).write.parquet(path("history"))
-    spark.createDataFrame([(t, date(2023, 12, i)) for i, t in enumerate(["t1", "t2", "t4"], 1)], "transaction_id string, event_date date").write.parquet(path("index"))
-    spark.createDataFrame([], LEDGER).write.parquet(path("ledger"))
-
-    def run(checkpoint):
-        stream = spark.readStream.schema(LABELS).parquet(path("in"))
-        labels.apply_late_labels(stream, path("history"), path("index"), path("ledger"), path(checkpoint)).awaitTermination()
-        return sorted((r.transaction_id, r.change_type, r.new_is_fraud) for r in spark.read.parquet(path("ledger")).collect())
-
-    late = rows([("t1", True), ("t2", True), ("t3", True), ("t4", True)], date(2024, 2, 1))
-    late.limit(0).write.parquet(path("in"))
-    assert run("c") == []
-    late.write.mode("append").parquet(path("in"))
-    want = [("t1", "LABEL_CHANGED", True), ("t2", "NEW_LABEL", True)]
-    assert run("c") == want
-    late.write.mode("append").parquet(path("in"))
-    assert run("c") == want and run("again") == want
-
-
-def test_labels_before_their_transaction(spark, tmp_path):
-    """A label that comes before its transaction is indexed waits, and is applied once with the next batch after."""
-    path = lambda name: str(tmp_path / name)
-    rows = lambda pairs, day: spark.createDataFrame([(t, f, day, datetime(day.year, day.month, day.day)) for t, f in pairs], LABELS)
-    index = lambda ids: spark.createDataFrame([(t, date(2023, 12, 1)) for t in ids], "transaction_id string, event_date date").write.mode("append").parquet(path("index"))
-    rows([("t1", True)], date(2024, 1, 1)).write.parquet(path("history"))
-    index(["t1"])
-    spark.createDataFrame([], LEDGER).write.parquet(path("ledger"))
-
-    def run(pairs, day):
-        rows(pairs, day).write.mode("append").parquet(path("in"))
-        stream = spark.readStream.schema(LABELS).parquet(path("in"))
-        labels.apply_late_labels(stream, path("history"), path("index"), path("ledger"), path("c")).awaitTermination()
-        return sorted((r.transaction_id, r.change_type) for r in spark.read.parquet(path("ledger")).collect())
-
-    assert run([("t2", True)], date(2024, 2, 1)) == []
-    index(["t2"])
-    assert run([("t1", None)], date(2024, 3, 1)) == [("t1", "LABEL_CLEARED"), ("t2", "NEW_LABEL")]
-    assert run([("t2", False)], date(2024, 4, 1)) == [("t1", "LABEL_CLEARED"), ("t2", "LABEL_CHANGED"), ("t2", "NEW_LABEL")]

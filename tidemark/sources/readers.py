@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -18,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, or none where there is no folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def optional(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """The Parquet at path, or no rows of that schema where there is none."""
     try:
@@ -39,16 +47,51 @@ def days(spark: SparkSession, path: str, first: date, last: date) -> DataFrame:
     return spark.read.parquet(path).filter(number.between(as_number(first), as_number(last)))
 
 
+def balanced_cuts(histogram: Callable[[int, int, int], list[tuple[int, int]]], low: int, high: int, parts: int, fine: int = 64) -> list[int]:
+    """Keys at which low..high is cut into parts of about equally many rows.
+
+    histogram(low, width, high) counts rows by (key - low) // width, for keys from low to below high. A cell with more than a fourth of a part's rows is counted again in finer ones, so that
+    where keys are is found by a few counts, whatever their distribution; rows of one key stay together.
+    """
+    cells, todo, total = [], [(low, high + 1)], None
+    while todo:
+        start, end = todo.pop()
+        width = -(-(end - start) // fine)
+        found = [(start + b * width, min(end, start + (b + 1) * width), n) for b, n in histogram(start, width, end)]
+        total = total or sum(n for _, _, n in found)
+        heavy = [c for c in found if c[2] * 4 * parts > total and c[1] - c[0] > 1]
+        todo += [c[:2] for c in heavy]
+        cells += [c for c in found if c not in heavy]
+    cuts, so_far = [], 0
+    for start, _, n in sorted(cells):
+        # A cell goes to the part in which its middle lies.
+        while len(cuts) < parts - 1 and so_far and (so_far + n / 2) * parts > total * (len(cuts) + 1):
+            cuts.append(start)
+        so_far += n
+    return sorted(set(cuts))
+
+
 def jdbc(spark: SparkSession, url: str, name: str, properties: dict[str, str], column: str | None = None, connections: int = 1, fetch_rows: int = 10_000) -> DataFrame:
-    """A table over JDBC. With a column of numbers in text form, as so many ranges of it at once, each read by its own task."""
+    """A table over JDBC. With a column of numbers in text form, as so many ranges of it at once, each read by its own task and with about as many rows as the others, which the source
+    counts; rows without a number are in the first range."""
     # A reader keeps the options that it was given, so that each load takes one of its own.
     reader = lambda: spark.read.format("jdbc").option("url", url).option("fetchsize", str(fetch_rows)).options(**properties)
     if not column or connections < 2:
         return reader().option("dbtable", name).load()
-    number = f"CAST(REPLACE({column}, '-', '0') AS BIGINT)"
+    quoted = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(column)
+    number = f"CAST(REPLACE({quoted}, '-', '0') AS BIGINT)"
     low, high = reader().option("query", f"SELECT MIN({number}) AS low, MAX({number}) AS high FROM {name}").load().first()
-    ranged = reader().option("dbtable", f"(SELECT t.*, {number} AS range_key FROM {name} t) r").options(partitionColumn="range_key", lowerBound=str(low or 0), upperBound=str((high or 0) + 1), numPartitions=str(connections))
-    return ranged.load().drop("range_key")
+
+    def histogram(low: int, width: int, high: int) -> list[tuple[int, int]]:
+        cells = f"SELECT (k - {low}) / {width} AS b FROM (SELECT {number} AS k FROM {name}) r WHERE k >= {low} AND k < {high}"
+        return [(int(r[0]), int(r[1])) for r in reader().option("query", f"SELECT b, COUNT(*) AS n FROM ({cells}) s GROUP BY b").load().collect()]
+
+    cuts = balanced_cuts(histogram, low, high, connections) if low is not None else []
+    edges = [None, *cuts, None]
+    predicates = [" AND ".join([f"range_key >= {a}"] * (a is not None) + [f"range_key < {b}"] * (b is not None)) or "1 = 1" for a, b in zip(edges, edges[1:], strict=False)]
+    if cuts:
+        predicates[0] = f"({predicates[0]} OR range_key IS NULL)"
+    return spark.read.jdbc(url, f"(SELECT t.*, {number} AS range_key FROM {name} t) r", predicates=predicates, properties=properties | {"fetchsize": str(fetch_rows)}).drop("range_key")
 
 
 def csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

@@ -9,11 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import jobs
-from tidemark.operators.audit import label_changes, pending
-from tidemark.operators.tables import latest
+from tidemark.operators.audit import label_changes
 from tidemark.plans.transactions import with_day
 from tidemark.sources.lake import Lake
-from tidemark.sources.readers import optional
 
 
 def activity(stream: DataFrame, late: str = "1 day", width: str = "1 hour") -> DataFrame:
@@ -21,32 +19,6 @@ def activity(stream: DataFrame, late: str = "1 day", width: str = "1 hour") -> D
     return stream.withWatermark("transaction_date", late).groupBy("user_id", F.window("transaction_date", width)).agg(F.count("*").alias("txn_count"), F.sum("amount").alias("amount_sum"))
 
 
-def apply_late_labels(stream: DataFrame, history_path: str, index_path: str, ledger_path: str, checkpoint: str) -> StreamingQuery:
-    """Writes the changes that each batch of labels (transaction_id, is_fraud, knowledge_date, _recorded_at) makes to the ledger, once:
-    a batch that is repeated after a failure finds its changes there already. history_path and ledger_path must hold their (maybe empty) tables.
-    Labels of transactions that the index doesn't know wait beside the history, in history_path + "-unindexed", and come again with each later batch."""
-
-    waiting_path, batch_path = f"{history_path.rstrip('/')}-unindexed", f"{history_path.rstrip('/')}-batch"
-
-    def one(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        index = spark.read.parquet(index_path)
-        waiting = optional(spark, waiting_path, batch.schema)
-        waiting = waiting.join(spark.read.parquet(history_path), ["transaction_id", "knowledge_date", "_recorded_at"], "left_anti").select(batch.columns)
-        # Stored once: the tables that it is made of are written below. A repeated batch has the same number and replaces it.
-        batch.unionByName(waiting).write.mode("overwrite").parquet(f"{batch_path}/{number}")
-        every = spark.read.schema(batch.schema).parquet(f"{batch_path}/{number}")
-        known = spark.read.parquet(history_path).join(every.select("transaction_id").distinct(), "transaction_id", "left_semi")
-        now = latest(every, ["transaction_id"], [F.desc("knowledge_date"), F.desc("_recorded_at"), F.desc_nulls_last("is_fraud")])
-        day = F.lit(every.agg(F.max("knowledge_date")).first()[0]).cast("date")
-        changes = label_changes(now, known, index, day)
-        pending(changes, spark.read.parquet(ledger_path)).write.mode("append").parquet(ledger_path)
-        batch.join(index, "transaction_id", "left_anti").select(batch.columns).write.mode("append").parquet(waiting_path)
-        every.join(index, "transaction_id", "left_semi").select(batch.columns).write.mode("append").parquet(history_path)
-
-    return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
 RAW_LABELS = "transaction_id string, is_fraud string"
 BATCHES = "batch long, labels long, changes long, days long, knowledge_date date"
 

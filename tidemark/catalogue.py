@@ -73,7 +73,8 @@ _RAW = AMOUNT_SQL.replace(" as string", " AS VARCHAR")
 @_query(f"""WITH {_NUMBERS} SELECT event_id, {_RAW} AS amount_raw, CAST({_VALUE} AS DOUBLE) AS amount, {_FORMAT} AS format,
  CASE WHEN event_id % 8 IN (0, 1, 7) THEN 'USD' WHEN event_id % 8 = 4 THEN 'VND' END AS currency, event_id % 8 IN (1, 3) AS is_negative FROM n""")
 def amounts(spark, sf_dir):
-    raw = with_amount(table(spark, sf_dir, "events").selectExpr("event_id", f"{AMOUNT_SQL} as amount_raw"), "amount_raw", "a")
+    raw = table(spark, sf_dir, "events").selectExpr("event_id", f"{AMOUNT_SQL} as amount_raw").repartition(spark.sparkContext.defaultParallelism)
+    raw = with_amount(raw, "amount_raw", "a")
     return raw.select("event_id", "amount_raw", F.col("a.amount").cast("double").alias("amount"), "a.format", "a.currency", "a.is_negative")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
@@ -79,9 +80,12 @@ def chip_number(text: Column) -> Column:
 
 
 def error_flags(errors: Column) -> dict[str, Column]:
-    """A flag for each known error, and has_error for any; false for null."""
-    flags = {name: F.coalesce(errors.contains(text), F.lit(False)) for name, text in ERRORS.items()}
-    return flags | {"has_error": reduce(or_, flags.values())}
+    """A flag for each known error; false for null."""
+    return {name: F.coalesce(errors.contains(text), F.lit(False)) for name, text in ERRORS.items()}
+
+
+def any_of(flags: Iterable[Column]) -> Column:
+    return reduce(or_, flags)
 
 
 def credit_band(score: Column) -> Column:
@@ -102,7 +106,7 @@ def risk_tier(rate: Column) -> Column:
     return F.when(rate >= 0.10, "CRITICAL").when(rate >= 0.05, "HIGH").when(rate >= 0.02, "MEDIUM").otherwise("LOW")
 
 
-#: What speaks against a transaction: code, points, condition.
+# What speaks against a transaction: code, points, condition.
 def risk_reasons() -> list[tuple[str, int, Column]]:
     at_least = lambda name, x: F.coalesce(F.col(name), F.lit(0)) >= x
     flag = lambda name: F.coalesce(F.col(name), F.lit(False))

@@ -13,8 +13,11 @@ from tidemark.operators.tables import latest, look_up, split
 def typed_transactions(raw: DataFrame) -> DataFrame:
     """Raw text columns named, typed and flagged; every raw row gives one row."""
     parsed = with_amount(raw, "amount", "__a")
-    online = C.is_online(F.col("merchant_state"), F.col("merchant_city"))
-    at = F.try_to_timestamp("date", F.lit("yyyy-MM-dd HH:mm:ss"))
+    flags = C.error_flags(F.col("errors"))
+    # What several columns are made of is a step of its own, so that it is worked out once and no generated method grows beyond what the JVM compiles.
+    steps = {"__online": C.is_online(F.col("merchant_state"), F.col("merchant_city")), "__at": F.try_to_timestamp("date", F.lit("yyyy-MM-dd HH:mm:ss"))}
+    parsed = parsed.withColumns(steps | {f"__{n}": x for n, x in flags.items()})
+    online, at = F.col("__online"), F.col("__at")
     return parsed.select(
         F.col("id").alias("transaction_id"),
         at.alias("transaction_date"),
@@ -33,7 +36,8 @@ def typed_transactions(raw: DataFrame) -> DataFrame:
         online.alias("is_online"),
         F.when(online, "ONLINE").otherwise(C.normal_zip(F.col("zip"))).alias("zip"),
         F.col("mcc").try_cast("int").alias("mcc"),
-        *[x.alias(n) for n, x in C.error_flags(F.col("errors")).items()],
+        *[F.col(f"__{n}").alias(n) for n in flags],
+        C.any_of(F.col(f"__{n}") for n in flags).alias("has_error"),
         *[c for c in raw.columns if c in ("again", "_loaded_at", "_batch_id")],
     )
 

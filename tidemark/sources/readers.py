@@ -115,7 +115,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     twice = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     e = e.withColumn("again", F.explode(twice))
-    return e.selectExpr(*RAW_COLUMNS)
+    # A feed comes in many files, with its texts ready made.
+    return e.selectExpr(*RAW_COLUMNS).repartition(spark.sparkContext.defaultParallelism)
 
 
 # The same expressions serve Spark and, where they are plain SQL, the comparison in DuckDB.

@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import jobs
+from tidemark import jobs, runs
 from tidemark.operators import tables
 from tidemark.sources import lake as lakes
 from tidemark.sources import readers
@@ -234,3 +234,36 @@ def test_ledger_status(spark):
 
 def test_optional(spark, tmp_path):
     assert readers.optional(spark, str(tmp_path / "none"), "x int").collect() == []
+
+
+def test_runs(spark, tmp_path):
+    """A day, then audits with late labels, then upkeep on the first of a month that moves the month before last."""
+    lake = Lake(str(tmp_path))
+    one = lambda sql: spark.sql(sql)
+    sources = {
+        "transactions": spark.createDataFrame([row("a", "2024-01-01", "$5.00"), row("b", "2024-01-01", "$1.00"), row("x", "2024-01-01", "N/A")], RAW), "mcc_codes": one("select '5000' as mcc_code, 'x' as description"),
+        "fraud_labels": spark.createDataFrame([("a", "No")], "transaction_id string, is_fraud string"), "users": one("select 'u' as id, '30' as current_age, '600' as credit_score, '$5' as yearly_income, '1990' as birth_year, 'x' as birth_month"),
+        "cards": one("select 'c' as id, 'u' as client_id, 'Visa' as card_brand, 'Debit' as card_type, '4111' as card_number, '1/2030' as expires, '1' as cvv, 'YES' as has_chip, '$5' as credit_limit, 'No' as card_on_dark_web"),
+    }
+    got = runs.daily(spark, lake, sources, date(2024, 1, 1), "b1", ["credit_band"])
+    assert got["ingested"]["transactions"] == 3 and got["cleaned"] == {"rows": 3, "accepted": 2, "rejected": 1, "null_keys": 0} and got["enriched"]["with_label"] == 1 and got["features"] == 2
+    raw = lake.state(spark).tables
+    assert list(raw["raw/users"].parts) == ["created_year=1990/created_month=__HIVE_DEFAULT_PARTITION__"] and list(raw["raw/cards"].parts) == ["card_brand_part=visa/expires_year_part=2030"]
+    assert "cvv" not in lake.read(spark, "raw", "cards").columns and "created_year" not in lake.read(spark, "staging", "users").columns
+    assert {r._source_file for r in lake.read(spark, "raw", "cards").collect()} == {"cards"} and {r._batch_id for r in lake.read(spark, "raw", "users").collect()} == {"b1"}
+    assert runs.audited(spark, lake, date(2024, 1, 1), "b1")["mode"] == "baseline"
+    deliver(spark, lake, {"a": "Yes", "b": "No"}, date(2024, 3, 1))
+    assert runs.audited(spark, lake, date(2024, 3, 1), "b2") == {"mode": "changes", "changes": 2, "restated": {"changes": 2, "days": 1}}
+    with pytest.raises(ValueError, match="raw data"):
+        runs.daily(spark, lake, {"transactions": sources["transactions"].withColumn("id", F.lit(None).cast("string"))}, date(2024, 1, 1), "b3", ["credit_band"])
+    assert lake.read(spark, "staging", "transactions").count() == 2
+    ingest(spark, lake, [row(str(k), "2024-02-29", f"${k}", user=f"u{k % 7}") for k in range(20)])
+    runs.upkeep(spark, lake, date(2024, 3, 1))
+    assert jobs.tiers(spark, lake, "raw", "transactions").count() == 23 and {r.month for r in lake.read(spark, "raw", "transactions").collect()} == {2}
+    users = [r.client_id for r in lake.read(spark, "raw", "transactions").collect()]
+    assert users == sorted(users)  # one file, in order
+    empty = Lake(str(tmp_path / "none"))
+    with empty.change(spark) as change:
+        change.put("audit", "transaction_index", lake.read(spark, "audit", "transaction_index").limit(0), readers.DAY)
+    with pytest.raises(ValueError, match="empty"):
+        runs.late_label_story(spark, empty, date(2024, 3, 1))

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import catalogue, jobs
+from tidemark import catalogue, jobs, runs
 from tidemark.catalogue import _LABEL, _LATER, _NUMBERS, _VALUE, _query
 from tidemark.sources import catalog, readers, writers
 from tidemark.sources.lake import Lake
@@ -71,8 +71,8 @@ def _story(spark: SparkSession, sf_dir: str) -> Lake:
 
 
 def _cleaned_again(spark: SparkSession, sf_dir: str) -> Lake:
-    """A lake of which one day, the first, is cleaned once more after it was enriched, and all days are indexed after that."""
-    lake = _base(spark, sf_dir)
+    """The lake, of which one day, the first, is cleaned once more after it was enriched, and all days are indexed after that: it stays as it was."""
+    lake = lake_of(spark, sf_dir)
     jobs.clean(spark, lake, LATER, date(2024, 1, 1))
     jobs.build_index(spark, lake, LATER, "b2")
     return lake
@@ -296,7 +296,7 @@ def stream_changes(spark, sf_dir):
 
 
 @_query("""SELECT CAST(event_id AS VARCHAR) AS id, CAST(1 AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-02' AND DATE '2024-01-31'
- UNION ALL SELECT concat(event_id, '-2'), 2, day(ts) FROM events, (SELECT unnest([0, 1]) AS again) WHERE day(ts) <= 2 AND (again = 0 OR event_id % 10 = 0)""")
+ UNION ALL SELECT concat(event_id, '-2'), CAST(2 AS INTEGER), CAST(day(ts) AS INTEGER) FROM events, (SELECT unnest([0, 1]) AS again) WHERE day(ts) <= 2 AND (again = 0 OR event_id % 10 = 0)""")
 def lake_tiers(spark, sf_dir):
     """Days over both tiers, the hot days of the first month gone: each row once."""
     return jobs.tiers(spark, lake_of(spark, sf_dir, _two_tiers), "raw", "transactions", date(2024, 1, 2), date(2024, 2, 2)).select("id", "month", "day")
@@ -437,3 +437,34 @@ def jdbc_transactions(spark, sf_dir):
     rows = lake_of(spark, sf_dir, _over_jdbc).read(spark, "raw", "transactions")
     number = F.when(F.col("id").endswith("00000000") & (F.length("id") > 8), F.expr("substring(id, 1, length(id) - 8)")).otherwise(F.col("id"))
     return rows.select((number.cast("long") % 10 == 0).alias("twice"), number.alias("id"), F.col("id").alias("far"), "client_id")
+
+
+def _with_story(spark: SparkSession, sf_dir: str) -> Lake:
+    """The lake, on which the story is told twice; each time it puts the label back."""
+    lake = lake_of(spark, sf_dir)
+    _STORIES[lake.root] = [runs.late_label_story(spark, lake, day) for day in (LATER, TODAY)]
+    return lake
+
+
+_STORIES: dict[str, list[dict]] = {}
+
+
+@_query(f"""WITH {_GOOD}, v AS (SELECT transaction_id, event_date, amount FROM good WHERE is_fraud IS DISTINCT FROM true ORDER BY transaction_id LIMIT 1),
+ d AS (SELECT count(*) AS total, count(*) FILTER (is_fraud) AS fraud, coalesce(sum(amount) FILTER (is_fraud), 0) AS sum FROM good WHERE event_date = (SELECT event_date FROM v))
+ SELECT transaction_id, CAST(event_date AS VARCHAR) AS event_date, unnest(['2024-03-01', '2024-03-02']) AS knowledge_date, total AS total_txn, fraud AS fraud_txn_before, round(sum, 2) AS fraud_amount_before, fraud + 1 AS fraud_txn_after,
+ round(sum + amount, 2) AS fraud_amount_after, CAST(1 AS BIGINT) AS fraud_txn_delta, round(round(sum + amount, 2) - round(sum, 2), 2) AS fraud_amount_delta, CAST(1 AS BIGINT) AS partitions_restated, CAST(1 AS BIGINT) AS changes_applied,
+ CAST(0 AS BIGINT) AS unexplained_difference, true AS invariant_ok, fraud AS restored_fraud_txn FROM v, d""")
+def late_label_story(spark, sf_dir):
+    """A late label from delivery to restated reports and back, told twice."""
+    lake = lake_of(spark, sf_dir, _with_story)
+    schema = "transaction_id string, event_date string, knowledge_date string, total_txn long, fraud_txn_before long, fraud_amount_before double, fraud_txn_after long, fraud_amount_after double, fraud_txn_delta long, fraud_amount_delta double, partitions_restated long, changes_applied long, unexplained_difference long, invariant_ok boolean, restored_fraud_txn long"
+    return spark.createDataFrame([tuple(s.values()) for s in _STORIES[lake.root]], schema)
+
+
+@_query("""SELECT CAST(1 + c_custkey % 12 AS INTEGER) AS month, CAST(NULL AS INTEGER) AS year, CAST(NULL AS VARCHAR) AS brand, count(*) AS n FROM customer GROUP BY 1
+ UNION ALL SELECT NULL, 2030, CASE WHEN (c_custkey * 10 + k) % 2 = 0 THEN 'visa' ELSE 'mastercard' END, count(*) FROM customer JOIN (SELECT unnest([0, 1, 2]) AS k) ON true JOIN (SELECT unnest([0, 1]) AS again) ON again = 0 OR c_custkey % 7 = 0 GROUP BY 3""")
+def lake_partition_keys(spark, sf_dir):
+    """Rows of each partition of raw users (month of birth; the years are no numbers) and raw cards (brand, year of expiry)."""
+    users, cards = (_read(spark, sf_dir, "raw", name) for name in ("users", "cards"))
+    out = users.groupBy(F.col("created_month").alias("month"), F.col("created_year").alias("year")).agg(F.count("*").alias("n")).withColumn("brand", F.lit(None).cast("string"))
+    return out.unionByName(cards.groupBy(F.col("card_brand_part").alias("brand"), F.col("expires_year_part").alias("year")).agg(F.count("*").alias("n")).withColumn("month", F.lit(None).cast("int"))).select("month", "year", "brand", "n")

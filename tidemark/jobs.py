@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -49,13 +50,16 @@ def _names(schema: str) -> list[str]:
     return [c.strip().split(" ")[0] for c in schema.split(",")]
 
 
-def ingest(spark: SparkSession, lake: Lake, name: str, source: DataFrame, day: date, batch: str, keys: Callable[[DataFrame], DataFrame] | None = None, change: Change | None = None) -> dict:
-    """Raw rows of a source as they are, with where they came from; partitioned by day if keys derives year, month and day. Card verification numbers don't enter.
-    Returns the rows and, if the source has an id, those without one, counted while they were written."""
+def ingest(
+    spark: SparkSession, lake: Lake, name: str, source: DataFrame, day: date, batch: str, keys: Callable[[DataFrame], DataFrame] | None = None, by: list[str] = DAY, whole: bool = False, change: Change | None = None
+) -> dict:
+    """Raw rows of a source as they are, with where they came from; partitioned if keys derives the columns of by (year, month and day). Partitions that don't come stay, or go if the source is
+    delivered as a whole. Card verification numbers don't enter. Returns the rows and, if the source has an id, those without one, counted while they were written."""
     rows = readers.with_lineage(source.drop("cvv"), name, batch, _at(day))
     key = next((c for c in ("id", "transaction_id") if c in rows.columns), None)
     with _changing(spark, lake, change) as change:
-        got = change.put("raw", name, keys(rows) if keys else rows, DAY if keys else None, count={"null_keys": F.count_if(F.col(key).isNull())} if key else None)
+        count = {"null_keys": F.count_if(F.col(key).isNull())} if key else None
+        got = change.put("raw", name, keys(rows), by, change.partitions("raw", name) if whole else None, count=count) if keys else change.put("raw", name, rows, count=count)
     return {"table": name, "batch": batch, **got}
 
 
@@ -63,13 +67,39 @@ def transaction_days(rows: DataFrame) -> DataFrame:
     return T.with_day(rows.withColumn("__day", F.to_date(F.try_to_timestamp("date", F.lit("yyyy-MM-dd HH:mm:ss")))), "__day").drop("__day")
 
 
-#: The tables of the source: what makes partition columns of its rows, if it is partitioned.
-SOURCES: dict[str, Callable[[DataFrame], DataFrame] | None] = {"mcc_codes": None, "fraud_labels": None, "users": None, "cards": None, "transactions": transaction_days}
+def birth_month(rows: DataFrame) -> DataFrame:
+    """Users by year and month of birth; what is no number is null."""
+    return rows.withColumns({"created_year": F.col("birth_year").try_cast("int"), "created_month": F.col("birth_month").try_cast("int")})
+
+
+def brand_and_expiry(rows: DataFrame) -> DataFrame:
+    """Cards by brand in lower case and year of expiry, the second part of month/year."""
+    return rows.withColumns({"card_brand_part": F.lower("card_brand"), "expires_year_part": F.get(F.split("expires", "/"), F.lit(1)).try_cast("int")})
+
+
+@dataclass(frozen=True)
+class Source:
+    """How a table of the source is kept: what derives its partition columns, and whether it comes as a whole each time."""
+
+    keys: Callable[[DataFrame], DataFrame] | None = None
+    by: tuple[str, ...] = ()
+    whole: bool = True
+
+
+#: The tables of the source, in the order in which later jobs need them.
+SOURCES: dict[str, Source] = {
+    "mcc_codes": Source(),
+    "fraud_labels": Source(),
+    "users": Source(birth_month, ("created_year", "created_month")),
+    "cards": Source(brand_and_expiry, ("card_brand_part", "expires_year_part")),
+    "transactions": Source(transaction_days, tuple(DAY), whole=False),
+}
 
 
 def ingest_all(spark: SparkSession, lake: Lake, sources: dict[str, DataFrame], day: date, batch: str) -> list[dict]:
-    """All sources in the order in which later jobs need them."""
-    return [ingest(spark, lake, name, sources[name], day, batch, keys) for name, keys in SOURCES.items() if name in sources]
+    """All sources, published together."""
+    with lake.change(spark) as change:
+        return [ingest(spark, lake, name, sources[name], day, batch, s.keys, list(s.by), s.whole, change) for name, s in SOURCES.items() if name in sources]
 
 
 def jdbc_sources(spark: SparkSession, url: str, properties: dict[str, str]) -> dict[str, DataFrame]:
@@ -103,7 +133,7 @@ def clean(spark: SparkSession, lake: Lake, at: date, first: date | None = None,
 def clean_dimensions(spark: SparkSession, lake: Lake, day: date, change: Change | None = None) -> None:
     """Users, cards and categories, each as a whole; of several rows of a key the one ingested last."""
     with _changing(spark, lake, change) as change:
-        users, cards = change.read("raw", "users"), change.read("raw", "cards")
+        users, cards = (change.read("raw", name).drop(*SOURCES[name].by) for name in ("users", "cards"))
         last = lambda rows: [F.desc_nulls_last(c) for c in ("_loaded_at", "_ingested_at") if c in rows.columns]
         change.put("staging", "users", tables.latest(T.clean_users(users), ["user_id"], last(users)))
         change.put("staging", "cards", tables.latest(T.clean_cards(cards, F.lit(day)), ["card_id"], last(cards)))
@@ -300,3 +330,11 @@ def append_batch(spark: SparkSession, lake: Lake, zone: str, name: str, rows: Da
         if got["mark"] is not None:
             change.mark(zone, name, column, got["mark"])
         return {"rows": got["rows"], "mark": change.mark(zone, name, column)}
+
+
+def relabel(spark: SparkSession, lake: Lake, transaction_id: str, day: date, is_fraud: bool | None) -> None:
+    """Gives one transaction of a day another label, in staging and in the index."""
+    with lake.change(spark) as change:
+        for zone, name in (("staging", "transactions"), ("audit", "transaction_index")):
+            rows = change.read(zone, name, day)
+            change.put(zone, name, rows.withColumn("is_fraud", F.when(F.col("transaction_id") == transaction_id, F.lit(is_fraud).cast("boolean")).otherwise(F.col("is_fraud"))), DAY)

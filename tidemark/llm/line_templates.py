@@ -10,8 +10,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NARROW_BYTES, forget, key_of, map_texts, small_side, spare, text_or_empty, written
+from tidemark.llm.common import forget, key_of, map_texts, small_side, spare, text_or_empty, written
 
+#: Bytes up to which a narrow side is broadcast here: few, so that a table of any size is joined in the same way.
+NARROW = 128 << 10
 #: Depth of the tree below the token count: so many leading tokens.
 LEADING = 3
 #: Documents that a template must occur in to be recurring.
@@ -19,7 +21,7 @@ DOCUMENTS = 5
 #: Lines of so many tokens recur from so few documents on.
 LONG, LONG_DOCUMENTS = 20, 2
 #: The share of a line's tokens that must be constant for it to fall under a template. Lines of under SHORTEST tokens match whole but for
-#: digits: of so few words, constant ones are common by chance. README has what either choice finds.
+#: digits: of so few words, constant ones are common by chance.
 CONSTANT, SHORTEST = 0.7, 6
 #: A token is constant if it is in so large a share of the lines that hold the least common of the tokens that CONSTANT asks for.
 AS_COMMON = 0.5
@@ -96,7 +98,7 @@ def _alike(lines: DataFrame, documents: int) -> DataFrame:
     parts = lines.select("line", "leaf", "tokens", "n", F.explode(F.array(*[quarter(F.lit(j)) for j in range(4)])).alias("part")).filter("part.any").select("line", "leaf", "tokens", "n", F.col("part.h").alias("part"))
     again = parts.groupBy("leaf", "tokens", "part").agg(F.sum("n").alias("n"), F.min("line").alias("a"), F.max("line").alias("b")).filter((F.round("n") >= _enough(documents)) & (F.col("a") < F.col("b")))
     again = written(again.select("leaf", "part"), "line-quarters")
-    wanted = written(parts.join(small_side(again, limit=NARROW_BYTES), ["leaf", "part"]).select("line", "leaf").distinct(), "line-alike")
+    wanted = written(parts.join(small_side(again, limit=NARROW), ["leaf", "part"]).select("line", "leaf").distinct(), "line-alike")
     out = written(lines.join(small_side(wanted), ["line", "leaf"]), "line-compared")
     forget(again, wanted)
     return out
@@ -124,7 +126,7 @@ def templates(docs: DataFrame, documents: int = DOCUMENTS, leading: int = LEADIN
     # A leaf of one line has no variable tokens, and leaves of the same lines in both trees have the same ones: neither needs its tokens.
     sets = long.groupBy("leaf", "tail").agg(F.count("*").alias("size"), F.bit_xor("line").alias("xor"), F.bit_xor(F.xxhash64("line")).alias("xor2")).filter("size > 1")
     only = written(sets.groupBy("size", "xor", "xor2").agg(F.min(F.struct("tail", "leaf")).alias("one")).select("one.leaf"), "line-sets")
-    varied = written(long.join(small_side(only, limit=NARROW_BYTES), "leaf"), "line-varied")
+    varied = written(long.join(small_side(only, limit=NARROW), "leaf"), "line-varied")
     forget(long, only)
     repeats = parsed.filter("head").groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
     places = varied.groupBy("line").agg(F.min(F.struct("key", "line_no")).alias("at")).groupBy("at.key").agg(F.collect_set("at.line_no").alias("nos"))
@@ -142,14 +144,14 @@ def templates(docs: DataFrame, documents: int = DOCUMENTS, leading: int = LEADIN
     # Where some line may do without any constant token below its leaf, lines without common ones count as well.
     how = "inner" if shortest - leading - int((1 - constant + 1e-9) * shortest) > 0 else "left"
     seen = F.when(F.col("total").isNotNull(), F.struct("pos", "token", "total"))
-    found = tokens.join(small_side(common, limit=NARROW_BYTES), ["leaf", "pos", "token"], how).groupBy("line", "leaf", "tokens").agg(F.collect_set(seen).alias("found"))
+    found = tokens.join(small_side(common, limit=NARROW), ["leaf", "pos", "token"], how).groupBy("line", "leaf", "tokens").agg(F.collect_set(seen).alias("found"))
     last = F.get(F.sort_array(F.transform("found", lambda x: x["total"]), asc=False), F.greatest(least, F.lit(1)).cast("int") - 1)
     found = found.filter(F.size("found") >= least).withColumn("last", last)
     constants = F.sort_array(F.transform(F.filter("found", lambda x: x["total"] >= AS_COMMON * F.col("last")), lambda x: F.struct(x["pos"], x["token"])))
     # `last` is stored too: a column that is used but once would be worked out again for each element.
     shapes = written(found.select("line", "leaf", F.xxhash64("leaf", constants).alias("general"), "last"), "line-shapes")
     forget(alike, common)
-    busy, lines = lines, lines.select("key", "doc_id", "line_no", "line", "leaf", "tokens", "tail").join(small_side(shapes, shapes.drop("last"), NARROW_BYTES), ["line", "leaf"], "left").filter("not tail or general is not null")
+    busy, lines = lines, lines.select("key", "doc_id", "line_no", "line", "leaf", "tokens", "tail").join(small_side(shapes, shapes.drop("last"), NARROW), ["line", "leaf"], "left").filter("not tail or general is not null")
     lines = written(lines.select("key", "doc_id", "line_no", "tokens", F.coalesce("general", "line").alias("template")), "line-templates")
     forget(busy, shapes)
     each = lines.select("template", "tokens", "key").distinct()
@@ -160,7 +162,7 @@ def dropped_lines(docs: DataFrame, documents: int = DOCUMENTS, leading: int = LE
     """(key, gone), stored: the line numbers, from 0 on, that go from each text; key is xxhash64 of doc_id and text."""
     lines, recurring = templates(docs, documents, leading, constant, shortest)
     recurring = written(recurring, "line-recurring")
-    found = lines.drop("tokens").join(small_side(recurring, limit=NARROW_BYTES), "template")
+    found = lines.drop("tokens").join(small_side(recurring, limit=NARROW), "template")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "line_no")
     found = found.groupBy("key", "line_no").agg(F.max(F.struct("n_docs", "template")).alias("widest"), F.min(place).alias("place")).select("key", "line_no", "place", "widest.template")
     found = written(found, "line-found")
@@ -168,7 +170,7 @@ def dropped_lines(docs: DataFrame, documents: int = DOCUMENTS, leading: int = LE
     left = found
     if keep_first:
         first = written(found.groupBy("template").agg(F.min("place").alias("first")).select("first.key", "first.line_no"), "line-first")
-        left = found.join(small_side(first, limit=NARROW_BYTES), ["key", "line_no"], "left_anti")
+        left = found.join(small_side(first, limit=NARROW), ["key", "line_no"], "left_anti")
     out = written(left.groupBy("key").agg(F.collect_set("line_no").alias("gone")), "line-drops")
     forget(found, *([first] if keep_first else []))
     return out

@@ -14,7 +14,8 @@ from tidemark import catalogue
 from tidemark.functions import cleaning as C
 from tidemark.functions.amounts import with_amount
 from tidemark.operators import audit, features, tables
-from tidemark.sources import readers, writers
+from tidemark.sources import readers
+from tidemark.sources.lake import Lake
 
 DATA = "/root/testdata/sf0.001"
 
@@ -121,13 +122,16 @@ def test_unindexed_and_cleared(spark):
 
 
 def test_partitions(spark, tmp_path):
-    path = str(tmp_path / "t")
+    lake = Lake(str(tmp_path))
     rows = spark.createDataFrame([(2024, 1, 1, "a"), (2024, 1, 2, "b")], "year int, month int, day int, x string")
-    writers.overwrite_partitions(rows, path, readers.DAY)
-    writers.overwrite_partitions(rows.filter("day = 2").withColumn("x", F.lit("c")), path, readers.DAY)
-    got = readers.days(spark, path, date(2024, 1, 1), date(2024, 1, 2))
+    for part in (rows, rows.filter("day = 2").withColumn("x", F.lit("c"))):
+        with lake.change(spark) as change:
+            change.put("z", "t", part, readers.DAY)
+    got = lake.read(spark, "z", "t", date(2024, 1, 1), date(2024, 1, 2))
     assert sorted(r.x for r in got.collect()) == ["a", "c"]
-    assert "PartitionFilters: [isnotnull(" in got._jdf.queryExecution().toString() or "PartitionFilters: [((" in got._jdf.queryExecution().toString()
+    assert len(lake.read(spark, "z", "t", date(2024, 1, 2)).inputFiles()) == 1
+    plain = str(tmp_path / "plain")
+    rows.write.partitionBy(*readers.DAY).parquet(plain)
+    days = readers.days(spark, plain, date(2024, 1, 2), date(2024, 1, 2))
+    assert [r.x for r in days.collect()] == ["b"] and "PartitionFilters: [" in days._jdf.queryExecution().toString()
     assert readers.optional(spark, str(tmp_path / "none"), "x string").count() == 0
-    writers.compact(spark, path, str(tmp_path / "c"), "x", "x")
-    assert spark.read.parquet(str(tmp_path / "c")).count() == 2

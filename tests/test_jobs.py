@@ -159,7 +159,6 @@ def test_killed_jobs_leave_old_or_new_tables(spark, tmp_path, monkeypatch):
         lambda: jobs.clean(spark, lake, date(2024, 1, 3), date(2024, 1, 2)),
         lambda: jobs.detect(spark, lake, date(2024, 3, 1), "b2"),
         lambda: jobs.restate(spark, lake, date(2024, 3, 1), "b2"),
-        lambda: jobs.dimensions(spark, lake, date(2024, 3, 1), ["credit_band"]),
         lambda: jobs.compact_month(spark, lake, "raw", "transactions", 2024, 1),
     ]
     for step in steps:

@@ -100,6 +100,27 @@ def test_orc_empty_and_lookup(spark, tmp_path):
     assert f.row_index_stride == 1000 and f.nrows > 0
 
 
+def test_orc_streams(spark, tmp_path):
+    """What the stripes of a file hold, by its own footers: row indexes, Bloom filters on doc_id alone, run-length encoded integers."""
+    token_orc.write_tokens(spark.range(3000).selectExpr("id as doc_id", "concat('text ', id) as text"), str(tmp_path / "o"), vocabulary("word_bpe_49k.json"), partitions=1)
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(str(next((tmp_path / "o").glob("*.orc"))))
+    reader = jvm.org.apache.orc.OrcFile.createReader(path, jvm.org.apache.orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration()))
+    doc_id = 1 + list(reader.getSchema().getFieldNames()).index("doc_id")
+    rows, stripes = reader.rows(), 0
+    for stripe in reader.getStripes():
+        footer = rows.readStripeFooter(stripe)
+        found = {}
+        for k in range(footer.getStreamsCount()):
+            found.setdefault(footer.getStreams(k).getColumn(), set()).add(str(footer.getStreams(k).getKind()))
+        assert {"BLOOM_FILTER_UTF8", "ROW_INDEX"} <= found[doc_id] and all("ROW_INDEX" in kinds for kinds in found.values())
+        assert not any("BLOOM_FILTER_UTF8" in kinds for column, kinds in found.items() if column != doc_id)
+        assert str(footer.getColumns(doc_id).getKind()) == "DIRECT_V2"
+        stripes += 1
+    rows.close()
+    assert stripes and reader.getNumberOfRows() == 3000
+
+
 def test_cut():
     for n in [1, 2, 31, 682, 683, 1023, 1024, 1025, 2047, 2048, 2049, 9999, *range(1, 3000, 37)]:
         out = packing.cut(n)

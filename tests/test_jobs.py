@@ -266,3 +266,17 @@ def test_runs(spark, tmp_path):
         change.put("audit", "transaction_index", lake.read(spark, "audit", "transaction_index").limit(0), readers.DAY)
     with pytest.raises(ValueError, match="empty"):
         runs.late_label_story(spark, empty, date(2024, 3, 1))
+
+
+def test_baseline_takes_labels_of_later_transactions(spark, tmp_path):
+    """A label of the baseline whose transaction is indexed later comes to it by enrichment; it is known, so that later runs find no change."""
+    lake = late_label_lake(spark, str(tmp_path))
+    deliver(spark, lake, {"a": "No", "later": "Yes"}, date(2024, 2, 1))
+    assert jobs.detect(spark, lake, date(2024, 2, 1), "b1") == {"mode": "baseline", "changes": 0}
+    assert {r.transaction_id: r.is_fraud for r in lake.read(spark, "audit", "label_history").collect()} == {"a": False, "later": True}
+    ingest(spark, lake, [row("later", "2024-01-03", "$9.00")])
+    jobs.clean(spark, lake, date(2024, 2, 2), date(2024, 1, 3))
+    jobs.enrich(spark, lake, date(2024, 1, 3))
+    jobs.build_index(spark, lake, date(2024, 2, 2), "b2", date(2024, 1, 3))
+    assert {r.transaction_id: r.is_fraud for r in lake.read(spark, "audit", "transaction_index", date(2024, 1, 3)).collect()} == {"later": True}
+    assert jobs.detect(spark, lake, date(2024, 3, 1), "b3") == {"mode": "changes", "changes": 0}

@@ -305,7 +305,7 @@ def test_shuffled_sides(spark, docs, monkeypatch):
     runs = [lambda: ngram_join.near_groups(docs), lambda: line_templates.line_report(docs), lambda: mixing.mix(docs), lambda: mixing.take(docs), lambda: quality.quality(docs).drop("distance")]
     before = [sorted(map(str, run().collect())) for run in runs]
     monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
-    monkeypatch.setattr(line_templates, "NARROW_BYTES", -1)
+    monkeypatch.setattr(line_templates, "NARROW", -1)
     for run, want in zip(runs, before, strict=True):
         assert sorted(map(str, run().collect())) == want
 

@@ -154,3 +154,26 @@ def test_little_padding(spark):
     got = packing.pack(docs, vocabulary("byte_bpe_50k.json"))
     n, seqs = got.selectExpr("sum(length)", "count(distinct sequence_id)").first()
     assert n / (seqs * 2048) > 0.95
+
+
+def test_rest_is_packed_together(spark):
+    """Of few documents too the sequences are full: what is left of the classes shares them."""
+    got = packing.pack(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), vocabulary("byte_bpe_50k.json"))
+    n, seqs, last = got.selectExpr("sum(length)", "count(distinct sequence_id)", "max(sequence_id)").first()
+    assert n / (seqs * 2048) > 0.95 and last == seqs - 1
+    spans = {}
+    for r in got.select("sequence_id", "offset", "length").collect():
+        spans.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in spans.values():
+        parts.sort()
+        assert [at for at, _ in parts] == [sum(x for _, x in parts[:i]) for i in range(len(parts))] and sum(x for _, x in parts) <= 2048
+
+
+def test_first_fit():
+    lengths = np.array([5, 3, 9, 1, 7, 2, 10, 4])
+    bins = packing.first_fit(lengths, 10)
+    assert max(lengths[bins == b].sum() for b in set(bins)) <= 10 and len(set(bins)) == 5 and bins.max() == 4
+    assert len(packing.first_fit(np.array([], int))) == 0
+    # Fewer than k pieces of each class k: the rest is bounded whatever the input.
+    classes = {k for n in range(1, 2049) for _, _, k in packing.cut(n)}
+    assert sum(k - 1 for k in classes) < 20000

@@ -8,13 +8,28 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import SPACE, fits, forget, join_counted, text_or_empty, written
 
 
+#: Bitmaps of 4,096 bytes each, as Spark's bitmap functions have them: 16 MB, 134 million bits. With 13 million keys in play a tenth of other texts are hashed too.
+BITMAPS = 4096
+_BITS = 8 * 4096
+
+
+def _marked(rows: DataFrame, in_play: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with marked: true for all rows that have keys of in_play, and for others whose hash meets one of theirs."""
+    number = F.pmod(F.xxhash64(F.lit("bitmap"), *keys), F.lit(BITMAPS * _BITS))
+    bitmap, bit = F.floor(number / _BITS).cast("int").alias("bitmap"), (number % _BITS).cast("int").alias("bit")
+    bits = in_play.select(bitmap, bit).groupBy("bitmap").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.coalesce(F.getbit(byte, F.col("bit") % 8) == 1, F.lit(False))
+    return rows.withColumns({"bitmap": bitmap, "bit": bit}).join(F.broadcast(bits), "bitmap", "left").withColumn("marked", marked)
+
+
 def exact_groups(docs: DataFrame, prefix_chars: int = 256, hash_all: bool = False, broadcast_bytes: int | None = None) -> DataFrame:
     """Stored rows (doc_id, n_bytes, text_sha256, n_code_points, in_play, row); in_play: whether length and prefix left the row in play.
 
     One scan counts (length, prefix hash): a length that occurs once ends there, so does a prefix that occurs once in its length. A
     second scan hashes whole texts of the rows in play, or of all with hash_all. With few keys in play (by measured bytes) they are
-    broadcast; with more, hashes are worked out where texts are read, since that is cheaper than moving texts to the keys, and are
-    given up again for rows out of play: both ways return the same.
+    broadcast; with more, a bitmap of their hashes is, whose size is the same for any number of keys. Texts whose bit is not set are out of
+    play and are not hashed; the few others that are out of play give their hash up in a join of narrow rows. Both ways return the same.
     """
     rows = docs.select("doc_id", F.regexp_replace(text_or_empty(), f"[{SPACE}]+", "").alias("norm"), F.char_length(text_or_empty()).cast("long").alias("n_code_points"))
     rows = rows.withColumns({"n_bytes": F.octet_length("norm").cast("long"), "prefix": F.xxhash64(F.substring("norm", 1, prefix_chars))})
@@ -24,7 +39,8 @@ def exact_groups(docs: DataFrame, prefix_chars: int = 256, hash_all: bool = Fals
     if fits(in_play, broadcast_bytes):
         found = rows.join(F.broadcast(in_play), keys, "left").withColumn("text_sha256", digest if hash_all else F.when(F.col("hit"), digest))
     else:
-        hashed = written(rows.withColumn("text_sha256", digest).drop("norm"), "exact-hashes")
+        maybe = rows if hash_all else _marked(rows, in_play, keys)
+        hashed = written(maybe.withColumn("text_sha256", digest if hash_all else F.when(F.col("marked"), digest)).select("doc_id", "n_code_points", *keys, "text_sha256"), "exact-hashes")
         found = join_counted(hashed, in_play, keys, "n", hashed.stored.rows)
         found = found if hash_all else found.withColumn("text_sha256", F.when(F.col("hit"), F.col("text_sha256")))
     found = found.select("doc_id", "n_bytes", "text_sha256", "n_code_points", F.coalesce("hit", F.lit(False)).alias("in_play"))

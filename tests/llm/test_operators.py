@@ -298,6 +298,32 @@ def test_exact_rows(spark, docs, monkeypatch):
     assert sorted(r.kept for r in exact_dedup.exact_dedup(same).collect()) == [False, False, False, True]
 
 
+def test_texts_out_of_play_are_not_hashed(spark):
+    """With more keys than are broadcast a bitmap keeps texts out: all rows of in-play keys are marked, others as good as never."""
+    rows = spark.range(20000).selectExpr("id % 15000 as doc_id", "concat('text ', id % 15000) as text").selectExpr("*", "cast(length(text) as long) as n_bytes", "xxhash64(text) as prefix")
+    keys = ["n_bytes", "prefix"]
+    marked = exact_dedup._marked(rows, rows.groupBy(*keys).count().filter("count > 1"), keys)
+    n = {(r.twice, r.marked): r["count"] for r in marked.selectExpr("doc_id < 5000 as twice", "marked").groupBy("twice", "marked").count().collect()}
+    assert n[True, True] == 10000 and (True, False) not in n and n.get((False, True), 0) < 10
+
+
+def test_many_lines_with_cues(spark):
+    """Headers of a text of many cue lines are those found line by line, also across the stretches that lines are read in."""
+    words = license_scan.VOCABULARY
+    lines = [f"license {words[i % len(words)]} {'word ' * (i % 3)}" if i % 5 else "plain words" for i in range(300)] + ["copyright"]
+    df = spark.createDataFrame([(1, "\n".join(lines)), (2, "copyright"), (3, ""), (4, "\n\n"), (5, "no cue")], "key long, text string")
+    got = Counter((r.key, r.at, r.n, tuple(r.tokens)) for r in license_scan.headers(df).collect())
+    want = Counter()
+    for key, text in ((1, lines), (2, ["copyright"])):
+        for at, line in enumerate(text):
+            for shorter, n in zip((0, *license_scan.LINES), license_scan.LINES):
+                tokens = license_scan.tokens_of(" ".join(text[at : at + n]))
+                known = len({*tokens} & {*license_scan.VOCABULARY})
+                if {*license_scan.tokens_of(line)} & {*license_scan.CUES} and shorter < len(text) - at and len(tokens) <= license_scan.MOST_WORDS and known >= license_scan.KNOWN * len({*tokens}):
+                    want[key, at, n, tuple(tokens)] += 1
+    assert got == want and len({n for _, _, n, _ in want}) == len(license_scan.LINES) and len(want) > 1000
+
+
 def test_shuffled_sides(spark, docs, monkeypatch):
     """What is broadcast on small tables gives the same rows when it is shuffled."""
     from tidemark.llm import common

@@ -86,6 +86,8 @@ CUES = (
 COSINE = 0.7
 #: Lines with a word that are joined to a header, from each line with a cue on: a wrapped notice comes close to one of these lengths.
 LINES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)
+#: Lines that are looked through together; a text of any number of lines with cues takes work in proportion to it.
+STRETCH = 64
 #: Words beyond which a header is no notice, which have some 300 at most; and the share of its different words that must be in the templates.
 MOST_WORDS, KNOWN = 800, 1 / 3
 #: A text of so few words with a notice in it is a licence file, whatever its name.
@@ -125,12 +127,18 @@ def notice_vectors(idf: dict[str, float]) -> list[dict[str, float]]:
 
 def headers(rows: DataFrame) -> DataFrame:
     """(key, at, tokens) of rows (key, text): for each line with a cue that line, and it with the next ones, joined, as far as they may be near a notice."""
-    lines = rows.select("key", F.filter(F.split(F.lower("text"), "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]")).alias("lines"))
-    starts = lines.select("key", "lines", F.explode(F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get(F.col("lines"), i).rlike(_ONE_OF))).alias("at"))
+    lines = rows.select("key", F.filter(F.split(F.lower("text"), "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]")).alias("lines")).filter(F.size("lines") > 0)
+    # Each line with a cue goes on with the lines of its stretch, not with those of the whole text.
+    stretch = lambda i: F.struct((i * STRETCH).alias("from"), F.slice("lines", i * STRETCH + 1, STRETCH + LINES[-1] - 1).alias("lines"))
+    numbers = F.sequence(F.lit(0), F.floor((F.size("lines") - 1) / STRETCH).cast("int"))
+    stretches = lines.select("key", F.size("lines").alias("all"), F.explode(F.transform(numbers, stretch)).alias("s")).select("key", "all", "s.from", "s.lines")
+    own = F.sequence(F.lit(0), F.least(F.size("lines"), F.lit(STRETCH)) - 1)
+    starts = stretches.select("key", "all", "from", "lines", F.explode(F.filter(own, lambda i: F.get(F.col("lines"), i).rlike(_ONE_OF))).alias("i"))
+    starts = starts.select("key", (F.col("from") + F.col("i")).alias("at"), (F.col("all") - F.col("from") - F.col("i")).alias("left"), F.slice("lines", F.col("i") + 1, LINES[-1]).alias("lines"))
     # A length is of use if the next shorter one leaves a line out.
     lengths = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(m).alias("shorter")) for m, n in zip((0, *LINES), LINES, strict=False)])
-    useful = F.transform(F.filter(lengths, lambda x: x["shorter"] < F.size("lines") - F.col("at")), lambda x: x["n"])
-    windows = starts.select("key", "at", F.explode(useful).alias("n"), "lines").select("key", "at", "n", _tokens(F.array_join(F.slice("lines", F.col("at") + 1, F.col("n")), " ")).alias("tokens"))
+    useful = F.transform(F.filter(lengths, lambda x: x["shorter"] < F.col("left")), lambda x: x["n"])
+    windows = starts.select("key", "at", F.explode(useful).alias("n"), "lines").select("key", "at", "n", _tokens(F.array_join(F.slice("lines", 1, F.col("n")), " ")).alias("tokens"))
     different = F.array_distinct("tokens")
     known = F.size(F.array_intersect(different, F.array(*map(F.lit, VOCABULARY)))) >= KNOWN * F.size(different)
     return windows.filter(F.size("tokens") <= MOST_WORDS).filter(known)

@@ -2,9 +2,13 @@
 
 import os
 import random
+import subprocess
+import sys
 from collections import Counter
 from datetime import datetime
+from pathlib import Path
 
+import pyspark
 from pyspark.sql import functions as F
 
 from tidemark import catalogue_lake
@@ -32,6 +36,24 @@ def test_jdbc(spark):
     assert readers.jdbc(spark, empty, "t", catalogue_lake.DERBY, "id", 4).count() == 0
 
 
+def test_source_is_read_by_other_processes(spark):
+    """Executors are processes of their own: two of them read the source's tables while the driver has it open."""
+    url = catalogue_lake.derby(spark, {"t": spark.range(50).selectExpr("cast(id as string) as id", "'é,\"' as x")})
+    assert readers.jdbc(spark, url, "t", catalogue_lake.DERBY, "id", 2).count() == 50
+    code = f"""
+import sys
+from pyspark.sql import SparkSession
+from tidemark import catalogue_lake
+from tidemark.sources import readers
+s = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1").getOrCreate()
+rows = readers.jdbc(s, {url!r}, "t", catalogue_lake.DERBY, "id", 4)
+print("read", rows.count(), rows.select("x").distinct().first().x == 'é,"')
+"""
+    env = os.environ | {"PYTHONPATH": str(Path(__file__).resolve().parents[1]), "SPARK_SCALA_VERSION": "2.13", "SPARK_HOME": os.environ.get("SPARK_HOME") or str(Path(pyspark.__file__).parent)}
+    env.pop("PYSPARK_GATEWAY_PORT", None)
+    assert "read 50 True" in subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=180, check=True).stdout
+
+
 def test_balanced_cuts():
     rng = random.Random(4)
     for keys in ([rng.randrange(10) for _ in range(1000)], [int(rng.lognormvariate(10, 5)) for _ in range(1000)], [5] * 400 + list(range(600)), [0], list(range(8)), [-50, -3, 10**15]):

@@ -280,3 +280,24 @@ def test_baseline_takes_labels_of_later_transactions(spark, tmp_path):
     jobs.build_index(spark, lake, date(2024, 2, 2), "b2", date(2024, 1, 3))
     assert {r.transaction_id: r.is_fraud for r in lake.read(spark, "audit", "transaction_index", date(2024, 1, 3)).collect()} == {"later": True}
     assert jobs.detect(spark, lake, date(2024, 3, 1), "b3") == {"mode": "changes", "changes": 0}
+
+
+def test_tables_are_written_in_small_parts(spark, tmp_path):
+    """No side is broadcast by its estimated size, no id is sorted before its shuffle; the session's settings come back, also after an error."""
+    from tidemark.sources import writers
+
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.codegen.hugeMethodLimit"]
+    before, lake = [spark.conf.get(k, None) for k in keys], Lake(str(tmp_path))
+    with lake.change(spark) as change:
+        change.put("z", "a", spark.range(100).withColumn("x", F.col("id") % 7))
+        change.put("z", "b", spark.range(50))
+    with pytest.raises(KeyError), writers.in_parts(spark):
+        joined = lake.read(spark, "z", "a").join(lake.read(spark, "z", "b"), "id", "left")
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        raise KeyError
+    assert [spark.conf.get(k, None) for k in keys] == before
+    rows = lake.read(spark, "z", "a")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    first, same = tables.latest(rows, ["x"], [F.desc("id")], seldom=True), tables.latest(rows, ["x"], [F.desc("id")])
+    assert "WindowGroupLimit" not in plan(first) and "WindowGroupLimit" in plan(same)
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, same.collect())) and first.columns == rows.columns

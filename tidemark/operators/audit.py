@@ -10,7 +10,7 @@ from tidemark.operators.tables import latest
 
 def latest_labels(history: DataFrame) -> DataFrame:
     """Of each transaction the label known last."""
-    return latest(history, ["transaction_id"], [F.desc("knowledge_date"), F.desc("_recorded_at"), F.desc_nulls_last("is_fraud")])
+    return latest(history, ["transaction_id"], [F.desc("knowledge_date"), F.desc("_recorded_at"), F.desc_nulls_last("is_fraud")], seldom=True)
 
 
 def label_changes(labels: DataFrame, history: DataFrame, index: DataFrame, knowledge_date: Column) -> DataFrame:

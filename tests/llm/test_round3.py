@@ -170,3 +170,21 @@ def test_cut_and_rank():
     good, bad = rng.normal(size=(300, 5)) + [1, 0, 0, 0, -1], rng.normal(size=(300, 5))
     w = pair_ranking.rank(good, bad)
     assert w[0] > 0.5 and w[4] < -0.5 and abs(w[1:4]).max() < 0.4
+
+
+def test_ranking_learns_of_all_rows(spark):
+    """Each labelled row takes part, whatever the size of a block: its pairs are drawn, and the quantile is that of all rows."""
+    good, bad = np.zeros((3000, 2), np.float32), np.zeros((3, 2), np.float32)
+    good[1234, 1] = 50.0  # one row alone has the second feature
+    assert pair_ranking.rank(good, bad, pairs=10, steps=1)[1] != 0
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.normal(size=9000), np.full(500, 0.25), np.full(500, 1e-9)])
+    some = spark.createDataFrame([(float(x),) for x in values], "s double").repartition(7)
+    down = np.sort(values)[::-1]
+    for above in (1, 17, 4400, 5000, 9999):
+        assert pair_ranking._quantile(some, above, float(values.min()), float(values.max())) == (down[above - 1] + down[above]) / 2
+    docs = spark.createDataFrame([(k, ("well formed text, in words. " if k % 2 else "x#$% 77 | ## ") * (1 + k % 5)) for k in range(1500)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality")
+    for block in (200, 10_000):  # several blocks, and one
+        got = pair_ranking.quality_ranking(docs, labels, block).join(labels, "doc_id").filter("held_out")
+        assert got.filter("predicted = quality").count() > 0.99 * got.count()

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import forget, map_texts, small_side, written
 
-#: Labelled rows of each class that pairs are drawn from, about; the share of good rows, which sets the quantile, is counted over all labelled rows.
-FIT_ROWS = 4000
+#: Labelled rows of a block, about: each block is fitted in a task of its own, and all labelled rows are in one. RARE of them, about, are of the rarer class.
+FIT_ROWS, RARE = 8000, 100
+#: Cells in which strengths are counted on the way to their quantile, and rows that are left to sort at its end.
+CELLS, LAST = 1000, 2000
 #: Pairs of each step and steps of the fit, its rate, and the weight of the squared weights in the loss.
 PAIRS, STEPS, RATE, RIDGE = 1024, 300, 0.05, 1e-4
 #: Characters with a class of their own; others go by their kind.
@@ -69,10 +71,19 @@ def held_out(doc_id: Column) -> Column:
 
 def rank(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, steps: int = STEPS, rate: float = RATE, ridge: float = RIDGE, seed: int = 0) -> np.ndarray:
     """Weights w by which P(a is preferred to b) = 1 / (1 + exp(-w.(a - b))) fits pairs of a row of good and a row of bad best: steps of Adam, each on
-    newly drawn pairs. Bradley and Terry's strength of a row is exp(w.row)."""
+    newly drawn pairs. Rows of either side are dealt in turn, shuffled anew each time around, and there are steps enough for each to be dealt once. Bradley and Terry's strength of a row is exp(w.row)."""
     draw, w, m, v = np.random.default_rng(seed), np.zeros(good.shape[1]), np.zeros(good.shape[1]), np.zeros(good.shape[1])
+    hands = {True: np.empty(0, np.int64), False: np.empty(0, np.int64)}
+
+    def deal(side: bool, n: int) -> np.ndarray:
+        while len(hands[side]) < pairs:
+            hands[side] = np.concatenate([hands[side], draw.permutation(n)])
+        out, hands[side] = hands[side][:pairs], hands[side][pairs:]
+        return out
+
+    steps = max(steps, -(-max(len(good), len(bad)) // pairs))
     for t in range(1, steps + 1):
-        d = good[draw.integers(0, len(good), pairs)] - bad[draw.integers(0, len(bad), pairs)]
+        d = (good[deal(True, len(good))] - bad[deal(False, len(bad))]).astype(np.float64)
         slope = -(d.T @ (1 / (1 + np.exp(np.clip(d @ w, -30, 30))))) / pairs + ridge * w
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope * slope
         w = w - rate * (1 - 0.9 * t / steps) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -87,43 +98,94 @@ def cut(strengths: np.ndarray, weights: np.ndarray, share: float) -> float:
     return float(s[at] if at + 1 >= len(s) else (s[at] + s[at + 1]) / 2)
 
 
+def _quantile(strengths: DataFrame, above: int, low: float, high: float) -> float:
+    """Halfway between the strengths numbers `above` and `above` + 1 from the top, of all rows of strengths (s double, from low to high): rows are counted in cells, those in the cells of the two again in finer
+    ones, until few different strengths are left."""
+
+    def at(rank: int) -> float:
+        lo, hi, over = low, high, 0  # `over` rows are above hi
+        while True:
+            inside = strengths.filter(F.col("s").between(lo, hi))
+            few = inside.groupBy("s").agg(F.count("*").alias("n")).orderBy(F.desc("s")).limit(LAST + 1).collect()
+            if len(few) <= LAST:
+                for r in few:
+                    over += r["n"]
+                    if over >= rank:
+                        return r["s"]
+            cell = F.least(F.floor((F.col("s") - lo) / ((hi - lo) / CELLS)), F.lit(CELLS - 1))
+            cells = sorted((r for r in inside.groupBy(cell.alias("cell")).agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi")).collect()), key=lambda r: -r["cell"])
+            for r in cells:
+                if over + r["n"] >= rank:
+                    lo, hi = r["lo"], r["hi"]
+                    break
+                over += r["n"]
+
+    return (at(above) + at(above + 1)) / 2
+
+
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, seed: int = 0) -> tuple[np.ndarray, float]:
     """(weights of features, bias): score = 1 / (1 + exp(-(weights.features + bias))).
 
-    Labels are those that are not held out; of several of a doc_id the better one counts, null ones don't. About fit_rows rows of each class, those of the smallest hashes of
-    doc_id, meet in one task of an executor, where pairs are drawn and fitted. With one class alone, or none, every score is the share of good labels.
+    Labels are those that are not held out; of several of a doc_id the better one counts, null ones don't. All labelled rows take part: they are dealt into blocks of about fit_rows by a hash of
+    doc_id, a task of an executor draws and fits the pairs of its block, and the weights are the mean of the blocks', weighted by their rows of the rarer class. Features are scaled by their deviations
+    over all rows, and the quantile is that of all rows' strengths. Where one class is so rare that few of its rows would be in a block, blocks are larger. With one class alone, or none, every score is the
+    share of good labels.
     """
     known = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg((F.max("quality") > 0).cast("int").alias("good"))
     known = written(known.filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("labelled"), "good"), "quality-labels")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_side(known), F.col("doc_id") == F.col("labelled"))
-    counts = {r["good"]: r["n"] for r in rows.groupBy("good").agg(F.count("*").alias("n")).collect()}
-    share = (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 1)
-    plain = np.zeros(WIDTH), float(np.log(share / (1 - share)))
-    if len(counts) < 2:
-        return plain
 
     def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("good"), pa.array([features(t).tobytes() for t in b.column("text").to_pylist()], pa.binary())], names=["good", "x"])
+            xs = [features(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("good"), pa.array([x.tobytes() for x in xs], pa.binary())], names=["doc_id", "good", "x"])
+
+    table = written(map_texts(rows.select("doc_id", "good", "text"), found, "doc_id long, good int, x binary"), "quality-features", n1=F.count_if(F.col("good") > 0))
+    n, n1 = table.stored.rows, table.stored.found["n1"]
+    share = (n1 + 0.5) / (n + 1)
+    if not 0 < n1 < n:
+        forget(table, known)
+        return np.zeros(WIDTH), float(np.log(share / (1 - share)))
+
+    def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, WIDTH))
+        for b in batches:
+            for x in b["x"].to_pylist():
+                x = np.frombuffer(x, np.float32).astype(np.float64)
+                total += x, x * x
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
 
-    place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    some = rows.filter(place < F.when(F.col("good") > 0, F.lit(fit_rows / counts[1])).otherwise(F.lit(fit_rows / counts[0]))).select("good", "text")
-    sample = written(map_texts(some, found, "good int, x binary"), "quality-sample", n1=F.count_if(F.col("good") > 0))
-    if not 0 < sample.stored.found["n1"] < sample.stored.rows:
-        return plain
+    # Partial results come in order of their bytes, so that sums don't depend on the order of tasks: one of WIDTH numbers for each task.
+    first, second = sum(np.frombuffer(t, np.float64).reshape(2, WIDTH) for t in sorted(bytes(r["total"]) for r in table.select("x").mapInArrow(summed, "total binary").collect())) / n
+    scale = 1 / np.maximum(np.sqrt(np.maximum(second - first * first, 0)), 1e-3)
+    blocks = max(1, min(-(-n // fit_rows), min(n1, n - n1) // RARE))
 
     def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data = sorted(((x, y) for b in batches for y, x in zip(b["good"].to_pylist(), b["x"].to_pylist(), strict=True)), key=lambda r: (zlib.crc32(r[0]), r))
-        x, y = np.stack([np.frombuffer(r[0], np.float32) for r in data]).astype(np.float64), np.array([r[1] for r in data])
-        scale = 1 / np.maximum(x.std(axis=0), 1e-3)
-        w = rank(x[y > 0] * scale, x[y == 0] * scale, seed=seed) * scale
-        weight = np.where(y > 0, counts[1] / (y > 0).sum(), counts[0] / (y == 0).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([-cut(x @ w, weight, counts[1] / (counts[0] + counts[1]))])], names=["w", "b"])
-
-    got = written(sample.repartition(1).mapInArrow(learn, "w binary, b double"), "quality-model")
-    model = got.first()
-    forget(sample, got, known)
-    return np.frombuffer(model["w"], np.float64), model["b"]
+        data = sorted(((x, y, k) for b in batches for k, y, x in zip(b["block"].to_pylist(), b["good"].to_pylist(), b["x"].to_pylist(), strict=True)), key=lambda r: (r[2], zlib.crc32(r[0]), r))
+        of = np.array([r[2] for r in data])
+        for k in np.unique(of):
+            mine = [data[i] for i in np.flatnonzero(of == k)]
+            x, y = np.stack([np.frombuffer(r[0], np.float32) for r in mine]) * scale.astype(np.float32), np.array([r[1] for r in mine])
+            rarer = int(min((y > 0).sum(), (y == 0).sum()))
+            if rarer:
+                w = rank(x[y > 0], x[y == 0], seed=seed) * scale
+                yield pa.RecordBatch.from_arrays([pa.array([int(k)]), pa.array([w.tobytes()], pa.binary()), pa.array([rarer])], names=["block", "w", "n"])
+
+    dealt = table.withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(blocks)))
+    fits = sorted((r["block"], r["n"], bytes(r["w"])) for r in dealt.repartition(blocks, "block").mapInArrow(learn, "block long, w binary, n long").collect())
+    if not fits:
+        forget(table, known)
+        return np.zeros(WIDTH), float(np.log(share / (1 - share)))
+    w = sum(np.frombuffer(x, np.float64) * k for _, k, x in fits) / sum(k for _, k, _ in fits)
+
+    def strengths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([float(np.frombuffer(x, np.float32).astype(np.float64) @ w) for x in b["x"].to_pylist()], pa.float64())], names=["s"])
+
+    got = written(table.select("x").mapInArrow(strengths, "s double"), "quality-strengths", low=F.min("s"), high=F.max("s"))
+    bias = -_quantile(got, n1, got.stored.found["low"], got.stored.found["high"])
+    forget(got, table, known)
+    return w, bias
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:

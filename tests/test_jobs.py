@@ -301,3 +301,35 @@ def test_tables_are_written_in_small_parts(spark, tmp_path):
     first, same = tables.latest(rows, ["x"], [F.desc("id")], seldom=True), tables.latest(rows, ["x"], [F.desc("id")])
     assert "WindowGroupLimit" not in plan(first) and "WindowGroupLimit" in plan(same)
     assert sorted(map(tuple, first.collect())) == sorted(map(tuple, same.collect())) and first.columns == rows.columns
+
+
+def test_wide_rows_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """Staged rows are dealt once when they get facts or new labels, narrow ones go to the sides; the index, and labels of one date of knowledge, are written where they are. A day of
+    several parts is whole afterwards."""
+    import re
+
+    from tidemark.sources import writers
+
+    lake, seen = late_label_lake(spark, str(tmp_path)), []
+    monkeypatch.setattr(lakes, "PART_BYTES", 8192)  # each day has some parts
+    write = lakes.Change._write
+
+    def noted(self, zone, name, rows, *by, **how):
+        with writers.in_parts(spark):
+            text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString((rows if how.get("gathered") else rows.hint("rebalance"))._jdf.queryExecution(), "formatted")
+        seen.append((f"{zone}/{name}", set(re.findall(r"Exchange\s*\nInput \[\d+\]: \[(.*?)\]", text))))  # one that is listed with subqueries too counts once
+        return write(self, zone, name, rows, *by, **how)
+
+    monkeypatch.setattr(lakes.Change, "_write", noted)
+    jobs.enrich(spark, lake)
+    jobs.build_index(spark, lake, date(2024, 1, 3), "b")
+    jobs.detect(spark, lake, date(2024, 2, 1), "b1")
+    deliver(spark, lake, {"a": "Yes", "b": "No", "c": "Yes"}, date(2024, 3, 1))
+    jobs.detect(spark, lake, date(2024, 3, 1), "b2")
+    jobs.restate(spark, lake, date(2024, 3, 1), "b2")
+    staged = [sum("merchant_city" in x for x in found) for key, found in seen if key == "staging/transactions"]
+    assert staged == [1, 1]
+    assert not any(found for key, found in seen if key in ("audit/transaction_index", "audit/impact_manifest"))
+    assert [len(found) for key, found in seen if key == "audit/label_history"] == [1, 0]
+    for zone, name in (("staging", "transactions"), ("audit", "transaction_index")):
+        assert {r.transaction_id: r.is_fraud for r in lake.read(spark, zone, name).collect()} == {"a": True, "b": False, "c": True}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.tables import latest
@@ -13,22 +15,35 @@ def latest_labels(history: DataFrame) -> DataFrame:
     return latest(history, ["transaction_id"], [F.desc("knowledge_date"), F.desc("_recorded_at"), F.desc_nulls_last("is_fraud")], seldom=True)
 
 
-def label_changes(labels: DataFrame, history: DataFrame, index: DataFrame, knowledge_date: Column) -> DataFrame:
-    """Labels that differ from those known before, with the day of the transaction: what has to be restated, and why.
+def changed() -> Column:
+    return ~F.col("old_is_fraud").eqNullSafe(F.col("new_is_fraud"))
+
+
+def compared(labels: DataFrame, history: DataFrame, index: DataFrame, knowledge_date: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """All labels, with the columns keep of theirs, beside those known before and the day of the transaction; `changed` tells which of them differ.
 
     labels has one row per transaction. A label that was null or missing and still is makes no change. Transactions that the index
     doesn't know come as UNINDEXED, without a day: their labels must wait, outside history, until the index has them.
     """
     known = latest_labels(history).select("transaction_id", F.col("is_fraud").alias("old_is_fraud"))
-    joined = labels.select("transaction_id", F.col("is_fraud").alias("new_is_fraud")).join(known, "transaction_id", "left")
-    changed = joined.filter(~F.col("old_is_fraud").eqNullSafe(F.col("new_is_fraud")))
+    joined = labels.select("transaction_id", F.col("is_fraud").alias("new_is_fraud"), *keep).join(known, "transaction_id", "left")
     kind = F.when(F.col("old_is_fraud").isNull(), "NEW_LABEL").when(F.col("new_is_fraud").isNull(), "LABEL_CLEARED").otherwise("LABEL_CHANGED")
     days = index.select("transaction_id", "event_date", F.lit(True).alias("indexed"))
-    out = changed.withColumns({"change_type": kind, "knowledge_date": knowledge_date}).join(days, "transaction_id", "left")
+    out = joined.withColumns({"change_type": kind, "knowledge_date": knowledge_date}).join(days, "transaction_id", "left")
     out = out.withColumn("change_type", F.when(F.col("indexed"), F.col("change_type")).otherwise("UNINDEXED")).drop("indexed")
     return out.withColumn("change_id", F.concat_ws("-", F.col("transaction_id").cast("string"), F.col("knowledge_date").cast("string")))
 
 
+def label_changes(labels: DataFrame, history: DataFrame, index: DataFrame, knowledge_date: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Labels that differ from those known before, with the day of the transaction: what has to be restated, and why."""
+    return compared(labels, history, index, knowledge_date, keep).filter(changed())
+
+
+def with_first_day(changes: DataFrame) -> DataFrame:
+    """changes with first_day: whether a row is the first of its transaction, which the index may have on several days."""
+    return changes.withColumn("first_day", F.lag(F.lit(1)).over(Window.partitionBy("transaction_id").orderBy("event_date")).isNull())
+
+
 def pending(changes: DataFrame, ledger: DataFrame) -> DataFrame:
     """Changes that can be applied and that no run has applied yet; running twice therefore applies none twice. Where the ledger has a status,
     rows of another one than APPLIED don't count."""
@@ -39,7 +54,12 @@ def pending(changes: DataFrame, ledger: DataFrame) -> DataFrame:
 def restate(rows: DataFrame, changes: DataFrame) -> DataFrame:
     """rows with the new labels over the old ones; a cleared label becomes null."""
     new = changes.filter("change_type <> 'UNINDEXED'").select("transaction_id", "new_is_fraud", "change_type")
-    return rows.join(new, "transaction_id", "left").withColumn("is_fraud", F.when(F.col("change_type").isNull(), F.col("is_fraud")).otherwise(F.col("new_is_fraud"))).drop("new_is_fraud", "change_type")
+    return relabelled(rows.join(new, "transaction_id", "left"))
+
+
+def relabelled(joined: DataFrame) -> DataFrame:
+    """Rows beside their change, if they have one, with its label."""
+    return joined.withColumn("is_fraud", F.when(F.col("change_type").isNull(), F.col("is_fraud")).otherwise(F.col("new_is_fraud"))).drop("new_is_fraud", "change_type")
 
 
 def affected(rows: DataFrame, changes: DataFrame) -> DataFrame:

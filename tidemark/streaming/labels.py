@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import jobs
-from tidemark.operators.audit import label_changes
+from tidemark.operators.audit import changed, compared, with_first_day
 from tidemark.plans.transactions import with_day
+from tidemark.sources import writers
 from tidemark.sources.lake import Lake
 
 
@@ -42,15 +43,19 @@ def restate_late_labels(stream: DataFrame, lake: Lake, knowledge_date: date, che
             waiting = change.read("audit", "waiting_labels", default=RAW_LABELS)
             now = jobs.labels_of(batch.select("transaction_id", "is_fraud").unionByName(waiting.join(batch, "transaction_id", "left_anti")))
             index = change.read("audit", "transaction_index")
-            known = change.read("audit", "label_history", default=jobs.HISTORY).join(now.select("transaction_id"), "transaction_id", "left_semi")
+            known, aside = change.read("audit", "label_history", default=jobs.HISTORY), writers.work_folder(spark)
             named = {"change_id": F.concat_ws("-", "change_id", F.lit(number)), "_detected_at": F.lit(knowledge_date).cast("timestamp"), "_batch_id": F.lit(f"stream-{number}")}
-            found = with_day(label_changes(now, known, index, F.lit(knowledge_date))).withColumns(named)
-            got = change.append("audit", "impact_manifest", found.filter("change_type <> 'UNINDEXED'").select(*[f.name for f in change.read("audit", "impact_manifest", default=jobs.MANIFEST).schema]), ["knowledge_date"])
-            changed = change.read("audit", "impact_manifest").filter(F.col("_batch_id") == f"stream-{number}").select("transaction_id")
-            history = now.join(changed, "transaction_id", "left_semi").select("transaction_id", "is_fraud", "is_fraud_raw", F.lit(f"stream-{number}").alias("source_batch_id"), F.lit(knowledge_date).cast("timestamp").alias("_recorded_at"), F.lit(knowledge_date).alias("knowledge_date"))
-            change.append("audit", "label_history", history, ["knowledge_date"])
-            late = now.join(index, "transaction_id", "left_anti").select("transaction_id", F.col("is_fraud_raw").alias("is_fraud"))
-            change.put("audit", "waiting_labels", late)
+            # Labels are compared once; manifest, history and labels that wait come from what was found.
+            seen = with_first_day(with_day(compared(now, known, index, F.lit(knowledge_date), ["is_fraud_raw"])).withColumn("changed", changed()))
+            with writers.in_parts(spark):
+                seen.write.parquet(aside)
+            seen = spark.read.parquet(aside).withColumns(named)
+            found = seen.filter("changed and change_type <> 'UNINDEXED'")
+            got = change.append("audit", "impact_manifest", found.select(*[f.name for f in change.read("audit", "impact_manifest", default=jobs.MANIFEST).schema]), ["knowledge_date"], gathered=True)
+            history = found.filter("first_day").select("transaction_id", F.col("new_is_fraud").alias("is_fraud"), "is_fraud_raw", F.lit(f"stream-{number}").alias("source_batch_id"), F.lit(knowledge_date).cast("timestamp").alias("_recorded_at"), F.lit(knowledge_date).alias("knowledge_date"))
+            change.append("audit", "label_history", history, ["knowledge_date"], gathered=True)
+            change.put("audit", "waiting_labels", seen.filter("change_type = 'UNINDEXED'").select("transaction_id", F.col("is_fraud_raw").alias("is_fraud")))
+            writers.discard(spark, aside)
             done = jobs.restate(spark, lake, knowledge_date, f"stream-{number}", change=change)
             change.append("audit", "label_batches", batch.agg(F.count("*").alias("labels")).select(F.lit(number).cast("long").alias("batch"), "labels", F.lit(got["rows"]).cast("long").alias("changes"), F.lit(done["days"]).cast("long").alias("days"), F.lit(knowledge_date).alias("knowledge_date")))
             change.mark("audit", "label_batches", mark, number)

@@ -333,3 +333,14 @@ def test_wide_rows_are_shuffled_once(spark, tmp_path, monkeypatch):
     assert [len(found) for key, found in seen if key == "audit/label_history"] == [1, 0]
     for zone, name in (("staging", "transactions"), ("audit", "transaction_index")):
         assert {r.transaction_id: r.is_fraud for r in lake.read(spark, zone, name).collect()} == {"a": True, "b": False, "c": True}
+
+
+def test_tiers_need_raw_rows_alone(spark, monkeypatch):
+    """Raw rows are ingested for tiers, nothing is cleaned; a month is compacted to one file, as it is small."""
+    from tidemark import catalogue_lake
+
+    monkeypatch.setattr(catalogue_lake, "_LAKES", {})
+    assert catalogue_lake.lake_tiers(spark, "/root/testdata/sf0.001").count() > 0
+    found = {key[2]: lake for key, lake in catalogue_lake._LAKES.items()}
+    assert set(found) == {"_raw", "_two_tiers"} and set(found["_raw"].state(spark).tables) == {"raw/transactions"}
+    assert len(found["_two_tiers"].read(spark, "warm", "transactions").inputFiles()) == 1

@@ -167,3 +167,15 @@ def test_label_before_its_transaction(spark, tmp_path):
     assert run({"a": "No"}) == [("late", "NEW_LABEL", False)]
     assert {r.transaction_id: r.is_fraud for r in lake.read(spark, "staging", "transactions").collect()} == {"a": False, "b": False, "c": None, "late": False}
     assert lake.read(spark, "audit", "waiting_labels").count() == 0
+
+
+def test_stream_from_its_start_repeats_no_history(spark, tmp_path):
+    """A second run from another checkpoint finds nothing new: its first batch, of the same number, adds no rows to the history."""
+    lake = late_label_lake(spark, str(tmp_path / "lake"))
+    jobs.detect(spark, lake, date(2024, 2, 1), "b1")
+    spark.createDataFrame([("a", "Yes"), ("x", "No")], labels.RAW_LABELS).coalesce(1).write.parquet(str(tmp_path / "in"))
+    for run in range(2):
+        stream = spark.readStream.schema(labels.RAW_LABELS).parquet(str(tmp_path / "in"))
+        labels.restate_late_labels(stream, lake, date(2024, 3, 1), str(tmp_path / f"c{run}")).awaitTermination()
+    assert [r.transaction_id for r in lake.read(spark, "audit", "label_history").filter("knowledge_date = date'2024-03-01'").collect()] == ["a"]
+    assert [r.transaction_id for r in lake.read(spark, "audit", "waiting_labels").collect()] == ["x"]

@@ -344,3 +344,59 @@ def test_tiers_need_raw_rows_alone(spark, monkeypatch):
     found = {key[2]: lake for key, lake in catalogue_lake._LAKES.items()}
     assert set(found) == {"_raw", "_two_tiers"} and set(found["_raw"].state(spark).tables) == {"raw/transactions"}
     assert len(found["_two_tiers"].read(spark, "warm", "transactions").inputFiles()) == 1
+
+
+def test_raw_rows_are_dealt_once_to_be_clean_and_enriched(spark, tmp_path, monkeypatch):
+    """Cleaned and enriched at once is cleaned and then enriched, and the latest row of each id: with ids on several days, with several cards, without a card, an id, a date. Wide rows are
+    dealt once, by day and part of it; staging and quarantine are written where they are."""
+    import re
+
+    from tidemark.plans import transactions
+    from tidemark.sources import writers
+
+    monkeypatch.setattr(lakes, "PART_BYTES", 8192)  # each day has some parts
+    at, put = date(2024, 1, 3), lakes.Change.put
+    some = [row(f"i{k}", f"2024-01-0{1 + k % 3}", "N/A" if k % 5 == 0 else f"${k}.00", user=f"u{k % 7}", loaded=k % 4)[:3] + (None if k % 6 == 0 else f"c{k % 4}",) + row("", "2024-01-01", "N/A" if k % 5 == 0 else f"${k}.00", loaded=k % 4)[4:] for k in range(120)]
+    again = [x[:1] + ("2024-01-03 10:00:00",) + x[2:3] + ("c2",) + x[4:-1] + (x[-1].replace(hour=k % 9),) for k, x in enumerate(some) if k % 4 == 0]  # on another day, mostly, with another card
+    odd = [row(None, "2024-01-01", "$1"), row(None, "2024-01-02", "$2", loaded=3), row("i1", None, "$3"), row("n", None, "$4"), row("n", None, "$5", loaded=1)]
+    cards = spark.sql("select 'c' || id as id, 'u' as client_id, 'Visa' || id as card_brand, 'Debit' as card_type, '4111' as card_number, '1/2030' as expires, '1' as cvv, 'YES' as has_chip, '$5' as credit_limit, 'No' as card_on_dark_web from range(3)")
+    codes = spark.sql("select '5000' as mcc_code, 'x' as description")
+    for name, rows in (("one day", some), ("days", [*some, *again, *odd])):
+        seen, found = [], {}
+        for together in (False, True):
+            lake = Lake(str(tmp_path / f"{name} {together}"))
+            ingest(spark, lake, rows)
+            deliver(spark, lake, {f"i{k}": ("Yes", "No", "?")[k % 3] for k in range(90)}, at)
+            for table, source in (("cards", cards), ("mcc_codes", codes), ("users", spark.sql("select 'u' as id, '30' as current_age, '600' as credit_score, '$5' as yearly_income"))):
+                jobs.ingest(spark, lake, table, source, at, "b")
+            jobs.clean_dimensions(spark, lake, at)
+            monkeypatch.setattr(lakes.Change, "put", lambda self, zone, table, *a, **k: seen.append((together, zone, k.get("gathered"))) or put(self, zone, table, *a, **k))
+            counts = jobs.clean_and_enrich(spark, lake, at) if together else (jobs.clean(spark, lake, at), jobs.enrich(spark, lake))
+            monkeypatch.setattr(lakes.Change, "put", put)
+            found[together] = counts, {z: sorted(str(sorted(r.asDict().items(), key=str)) for r in lake.read(spark, z, "transactions").collect()) for z in ("staging", "quarantine")}
+        assert found[True] == found[False] and found[True][0][1]["with_card"] > 0 and found[True][0][1]["with_label"] > 0
+        assert seen == [(False, "staging", True), (False, "quarantine", True), (False, "staging", True), (True, "staging", True), (True, "quarantine", True)]
+        raw = lake.read(spark, "raw", "transactions")
+        plain = transactions.typed_transactions(tables.latest(raw.drop(*readers.DAY, "_ingested_at", "_source_file"), ["id"], [F.desc_nulls_last("_loaded_at")])).select("transaction_id", "transaction_date", "amount_raw", "card_id")
+        kept = [lake.read(spark, z, "transactions").select("transaction_id", "transaction_date", "amount_raw", "card_id") for z in ("staging", "quarantine")]
+        assert sorted(map(str, plain.collect())) == sorted(map(str, kept[0].unionByName(kept[1]).collect()))
+        if name == "one day":
+            with lake.change(spark) as change, writers.in_parts(spark):
+                latest = jobs._latest_by_day(spark, change, raw, None, None, str(tmp_path / "keys"), True)
+                text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(latest._jdf.queryExecution(), "formatted")
+            assert sum("merchant_city" in x for x in re.findall(r"Exchange\s*\nInput \[\d+\]: \[(.*?)\]", text)) == 1
+
+
+def test_a_feed_by_day_is_dealt_before_its_texts_are_made(spark, tmp_path, monkeypatch):
+    """Raw transactions of the lake: events are dealt by day, four narrow columns, texts aren't; each row is there as in the feed that is not by day."""
+    import re
+
+    from tidemark import catalogue_lake
+
+    feed = catalogue_lake.raw_transactions(spark, "/root/testdata/sf0.001")
+    text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(jobs.transaction_days(feed)._jdf.queryExecution(), "formatted")
+    dealt = re.findall(r"Exchange\s*\nInput \[\d+\]: \[(.*?)\]", text)
+    assert len(dealt) == 1 and "event_type" in dealt[0] and "merchant" not in dealt[0] and "date" not in dealt[0]
+    lake = catalogue_lake._raw(spark, "/root/testdata/sf0.001")
+    rows = lambda df: sorted(map(tuple, df.select(*[c for c in feed.columns if c != "_loaded_at"]).collect()), key=str)
+    assert rows(lake.read(spark, "raw", "transactions")) == rows(readers.raw_transactions(spark, "/root/testdata/sf0.001"))

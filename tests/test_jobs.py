@@ -400,3 +400,30 @@ def test_a_feed_by_day_is_dealt_before_its_texts_are_made(spark, tmp_path, monke
     lake = catalogue_lake._raw(spark, "/root/testdata/sf0.001")
     rows = lambda df: sorted(map(tuple, df.select(*[c for c in feed.columns if c != "_loaded_at"]).collect()), key=str)
     assert rows(lake.read(spark, "raw", "transactions")) == rows(readers.raw_transactions(spark, "/root/testdata/sf0.001"))
+
+
+def test_dimensions_are_dealt_raw(spark, tmp_path, monkeypatch):
+    """Raw users and cards are shuffled, not what they are cleaned to; of a key delivered twice the later row stays, rows without one go. Cards that come by their partitions aren't dealt by them."""
+    import re
+
+    from tidemark.sources import writers
+
+    lake, plans, write = Lake(str(tmp_path)), {}, lakes.Change._write
+
+    def noted(self, zone, name, rows, *by, **how):
+        with writers.in_parts(spark):
+            text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "formatted")
+        plans[f"{zone}/{name}"] = re.findall(r"Exchange\s*\nInput \[\d+\]: \[(.*?)\]", text)
+        return write(self, zone, name, rows, *by, **how)
+
+    monkeypatch.setattr(lakes.Change, "_write", noted)
+    cards = spark.sql("select if(id < 2, 'c', if(id = 2, 'd', null)) as id, 'u' as client_id, 'Visa' as card_brand, 'Debit' as card_type, '4111' as card_number, '1/2030' as expires, '1' as cvv, 'YES' as has_chip, concat('$', id) as credit_limit, 'No' as card_on_dark_web, timestamp'2024-01-01' + make_interval(0, 0, 0, id) as _loaded_at from range(4)")
+    users = spark.sql("select if(id = 3, null, 'u' || id) as id, '30' as current_age, '600' as credit_score, '$5' as yearly_income, '1990' as birth_year, '1' as birth_month from range(4)")
+    sources = {"cards": cards, "users": users, "mcc_codes": spark.sql("select '5000' as mcc_code, 'x' as description")}
+    jobs.ingest_all(spark, lake, sources, date(2024, 1, 1), "b", gathered=["cards"])
+    jobs.clean_dimensions(spark, lake, date(2024, 1, 1))
+    assert not plans["raw/cards"] and len(plans["raw/users"]) == 1 and "_source_file" not in plans["raw/users"][0]
+    for name, cleaned in (("users", "credit_band"), ("cards", "months_to_expiry")):
+        assert len(plans[f"staging/{name}"]) == 1 and cleaned not in plans[f"staging/{name}"][0]
+    assert {(r.card_id, float(r.credit_limit)) for r in lake.read(spark, "staging", "cards").collect()} == {("c", 1.0), ("d", 2.0)}
+    assert {(r.user_id, r.credit_band is not None) for r in lake.read(spark, "staging", "users").collect()} == {(f"u{k}", True) for k in range(3)}

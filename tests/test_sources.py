@@ -54,6 +54,34 @@ print("read", rows.count(), rows.select("x").distinct().first().x == 'é,"')
     assert "read 50 True" in subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=180, check=True).stdout
 
 
+def scans(spark, of):
+    """What `of` returns, and how many jobs of Spark it took."""
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    got = of()
+    return got, len(set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before)
+
+
+def test_ranges_are_found_by_one_count(spark):
+    """Each count is a scan of the whole source, which has no order by number: one is enough though a few ids are far off; ids that lie close together far from all others take a few."""
+    far = [(str(k if k % 50 else k * 10**8), "x") for k in range(1, 3001)]
+    near = [(str(10**15 + k), "x") for k in range(1000)] + [("7", "x"), (str((1 << 63) - 1), "x")]
+    url = catalogue_lake.derby(spark, {"far_off": spark.createDataFrame(far, "id string, x string"), "near": spark.createDataFrame(near, "id string, x string")})
+    for name, rows, most in (("far_off", far, 1), ("near", near, 5)):
+        read, n = scans(spark, lambda name=name: readers.jdbc(spark, url, name, catalogue_lake.DERBY, "id", 8))
+        sizes = [len(p) for p in read.rdd.glom().collect()]
+        assert n <= most and len(sizes) == 8 and max(sizes) <= 2 * min(sizes) and sum(sizes) == len(rows)
+
+
+def test_source_is_filled_in_parts(spark):
+    """Files of rows are loaded at the same time, each to a table of its own, of which there are a few however many files come; quotes, commas and nulls in place."""
+    rows = [(str(k), None if k % 3 else f'"{k},') for k in range(100)]
+    url = catalogue_lake.derby(spark, {"t": spark.createDataFrame(rows, "id string, x string").repartition(40)})
+    read = readers.jdbc(spark, url, "t", catalogue_lake.DERBY, "id", 4)
+    assert sorted(map(tuple, read.collect()), key=str) == sorted(rows, key=str)
+    parts = [readers.jdbc(spark, url, f"t__{k}", catalogue_lake.DERBY).count() for k in range(catalogue_lake.PARTS)]
+    assert sum(parts) == len(rows) and min(parts) > 0
+
+
 def test_balanced_cuts():
     rng = random.Random(4)
     for keys in ([rng.randrange(10) for _ in range(1000)], [int(rng.lognormvariate(10, 5)) for _ in range(1000)], [5] * 400 + list(range(600)), [0], list(range(8)), [-50, -3, 10**15]):

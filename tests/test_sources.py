@@ -11,7 +11,7 @@ from pathlib import Path
 import pyspark
 from pyspark.sql import functions as F
 
-from tidemark import catalogue_lake
+from tidemark import catalogue_lake, jobs
 from tidemark.sources import readers, writers
 from tidemark.sources.lake import Lake
 from tidemark.streaming import labels
@@ -43,7 +43,7 @@ def test_source_is_read_by_other_processes(spark):
     code = f"""
 import sys
 from pyspark.sql import SparkSession
-from tidemark import catalogue_lake
+from tidemark import catalogue_lake, jobs
 from tidemark.sources import readers
 s = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1").getOrCreate()
 rows = readers.jdbc(s, {url!r}, "t", catalogue_lake.DERBY, "id", 4)
@@ -82,6 +82,18 @@ def test_source_is_filled_in_parts(spark):
     assert sum(parts) == len(rows) and min(parts) > 0
 
 
+def test_ranges_are_counted_as_they_are_ingested(spark, monkeypatch):
+    """Between the counts in the source and the ingest nothing reads the source, and their rows are those of the table."""
+    between, jdbc_sources, ingest_all = [], jobs.jdbc_sources, jobs.ingest_all
+    at = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    monkeypatch.setattr(jobs, "jdbc_sources", lambda *a: (jdbc_sources(*a), between.append(at()))[0])
+    monkeypatch.setattr(jobs, "ingest_all", lambda *a: (between.append(at()), ingest_all(*a))[1])
+    lake = catalogue_lake._over_jdbc(spark, "/root/testdata/sf0.001")
+    assert len(between) == 2 and between[0] == between[1]
+    ranges = catalogue_lake._RANGES[lake.root]
+    assert len(ranges) == 8 and sum(ranges) == lake.read(spark, "raw", "transactions").count()
+
+
 def test_balanced_cuts():
     rng = random.Random(4)
     for keys in ([rng.randrange(10) for _ in range(1000)], [int(rng.lognormvariate(10, 5)) for _ in range(1000)], [5] * 400 + list(range(600)), [0], list(range(8)), [-50, -3, 10**15]):
